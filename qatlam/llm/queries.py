@@ -29,3 +29,30 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.leak import leaked
 
     return leaked(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.quality import records, text_quality
+
+    texts = records(table(spark, d, "results"), table(spark, d, "blocks"))
+    return text_quality(texts, table(spark, d, "common_words")).where("kind is not null").select("record", "record_id", "kind")
+
+
+P2_KEY = "regexp_replace(lower(line), '[^\\p{L}]+|[ʻʼ]+', '', 'g')"
+P2_SITE = "regexp_replace(lower(regexp_extract(url, '^\\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#\\s]+)', 1)), '^www\\.|\\.$', '')"
+P2_PAGE = "regexp_replace(regexp_replace(regexp_replace(url, '^\\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#\\s]+', ''), '[?#].*$', ''), '/+\\s*$', '')"
+P2_LINES = f"""
+WITH p AS (SELECT page_id, {P2_SITE} AS site, {P2_PAGE} AS page FROM pages),
+s AS (SELECT page_id, candidate_id, string_split(text, chr(10)) AS ls FROM candidates WHERE text IS NOT NULL),
+l AS (SELECT page_id, candidate_id, unnest(range(len(ls))) AS line_no, unnest(ls) AS line FROM s),
+k AS (SELECT page_id, candidate_id, line_no, {P2_KEY} AS key, site, page FROM l JOIN p USING (page_id) WHERE site <> ''),
+n AS (SELECT site, key, count(DISTINCT page) AS pages FROM k WHERE key <> '' GROUP BY site, key HAVING count(DISTINCT page) >= 5)
+"""
+
+
+@query("p2_found", P2_LINES + "SELECT page_id, candidate_id, CAST(line_no AS BIGINT) AS line_no FROM k JOIN n USING (site, key)")
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.sitelines import boilerplate
+
+    return boilerplate(table(spark, d, "candidates"), table(spark, d, "pages"))[1].select("page_id", "candidate_id", "line_no")
