@@ -42,3 +42,8 @@ def folded(text: str) -> str:
 def words(text: str) -> list[str]:
     """Folded words of ``text`` in order; digits count as words."""
     return _WORD.findall(folded(text))
+
+
+def plain_words(text: str) -> list[str]:
+    """Words in lower case without apostrophes, in the script in which they are written."""
+    return _WORD.findall(_APOS.sub("", text.lower()))

@@ -56,3 +56,32 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.sitelines import boilerplate
 
     return boilerplate(table(spark, d, "candidates"), table(spark, d, "pages"))[1].select("page_id", "candidate_id", "line_no")
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.mainbody import page_furniture
+
+    return page_furniture(table(spark, d, "candidates"), table(spark, d, "pages"))
+
+
+@query("p10_found")
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.mojibake import found, garbled
+
+    return found(garbled(table(spark, d, "documents")))
+
+
+@query("p10_restored")
+def p10_restored(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.mojibake import garbled, restored
+
+    documents = table(spark, d, "documents")
+    return restored(documents, garbled(documents))
+
+
+@query("p7_found")
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.history import repeats
+
+    return repeats(table(spark, d, "results").selectExpr("result_id AS id", "kept_text AS text"))
