@@ -52,6 +52,7 @@ _TABLES = {c: _bytes_of(c) for c in {w for steps in CHAINS.values() for w, _ in
 _APOS = re.compile("[" + APOSTROPHES + "]")
 _CORE = re.compile(r"[^\W\d_](?:['’‘ʻʼ`]?[^\W\d_])*")
 _CYR, _LAT = re.compile("[Ѐ-ӿ]"), re.compile("[A-Za-zÀ-ɏ]")
+_SIGNS = "’‘“”„«»–—…№ʻʼ´`\xa0"
 _ODD = re.compile("[\x00-\x08\x0b-\x1f\x7f-\x9f�]")
 
 
@@ -72,9 +73,13 @@ def cores(token: str) -> list[str]:
 
 
 def _plausible(token: str) -> bool:
-    if _ODD.search(token):
+    """Whether a restored token is made of letters and usual signs, its words in one script and in regular case."""
+    if _ODD.search(token) or any(not (c.isascii() or c.isalpha() or c in _SIGNS) for c in token):
         return False
-    return not any(_CYR.search(w) and _LAT.search(w) for w in _CORE.findall(token))
+    for w in _CORE.findall(token):
+        if (_CYR.search(w) and _LAT.search(w)) or any(a.islower() and b.isupper() for a, b in zip(w, w[1:])):
+            return False
+    return True
 
 
 def restorations(token: str) -> Iterator[tuple[str, str]]:
@@ -85,7 +90,10 @@ def restorations(token: str) -> Iterator[tuple[str, str]]:
         return
     for chain in CHAINS:
         t = undo(token, chain)
-        if t is not None and t != token and _plausible(t):
+        if t is None or t == token or not _plausible(t):
+            continue
+        # eight-bit encodings map one character to one, and letters don't become signs
+        if chain.startswith("utf-8") or (max(map(len, _CORE.findall(t)), default=0) >= 3 and sum(map(str.isalpha, t)) >= sum(map(str.isalpha, token))):
             yield chain, t
 
 
@@ -133,8 +141,8 @@ def garbled_types(documents: DataFrame) -> DataFrame:
     words = cut(words)
     odd = types.where(F.col("token").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))
     guess = cut(odd.mapInPandas(guesses, "token string, n bigint, chain string, restored string, core string, share double"))
-    # how common the token's own words are: a word that is common as it stands isn't garbled
-    own = odd.mapInPandas(lambda bs: (pd.DataFrame([(t, c) for t in b["token"] for c in set(cores(t))], columns=["token", "core"]) for b in bs), "token string, core string")
+    # how common the token's longest word is: a word that is common as it stands isn't garbled
+    own = odd.mapInPandas(lambda bs: (pd.DataFrame([(t, max(cores(t), key=len)) for t in b["token"] if cores(t)], columns=["token", "core"]) for b in bs), "token string, core string")
     own = own.join(words, "core").groupBy("token").agg(F.max("docs").alias("own"))
     seen = guess.join(words, "core", "left").join(own, "token", "left")
     known = (F.col("docs") >= F.lit(RATIO) * F.coalesce("own", "n")).cast("double")
