@@ -85,3 +85,24 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.history import repeats
 
     return repeats(table(spark, d, "results").selectExpr("result_id AS id", "kept_text AS text"))
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.language import relabelled
+
+    return relabelled(table(spark, d, "blocks"), table(spark, d, "language_results"), table(spark, d, "common_words")).select("block_id", "lang")
+
+
+@query("p5_found")
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.ocr import Repaired
+
+    return Repaired(table(spark, d, "ocr_pages")).findings()
+
+
+@query("p5_text")
+def p5_text(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.ocr import Repaired
+
+    return Repaired(table(spark, d, "ocr_pages")).text()
