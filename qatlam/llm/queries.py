@@ -106,3 +106,44 @@ def p5_text(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.ocr import Repaired
 
     return Repaired(table(spark, d, "ocr_pages")).text()
+
+
+@query("p4_documents")
+def p4_documents(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.tokens import slice_tokens
+
+    return slice_tokens(table(spark, d, "documents"))
+
+
+@query(
+    "p4_books",
+    """
+WITH now AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY coalesce(processed_at, TIMESTAMP '0001-01-01') DESC, book_id DESC) AS rn
+                 FROM books WHERE path IS NOT NULL)
+  WHERE rn = 1 AND dedup_status IS NULL),
+t AS (SELECT coalesce(nullif(lower(trim(category)), ''), 'uncategorized') AS category, exact_tokens,
+        coalesce(CASE WHEN exact_tokens >= 0 THEN exact_tokens END, CASE WHEN estimated_tokens >= 0 THEN estimated_tokens END,
+                 CAST(round_even(CASE WHEN char_count >= 0 THEN char_count END / 4.0, 0) AS BIGINT), 0) AS tokens FROM now)
+SELECT category, count(*) AS n_books, CAST(sum(tokens) AS BIGINT) AS n_tokens,
+       CAST(coalesce(sum(CASE WHEN exact_tokens >= 0 THEN 1 END), 0) AS BIGINT) AS n_exact
+FROM t GROUP BY category""",
+)
+def p4_books(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.tokens import ledger_tokens
+
+    return ledger_tokens(table(spark, d, "books"))
+
+
+@query("p8_packed")
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.packing import packed
+
+    return packed(table(spark, d, "documents"), table(spark, d, "containers"))
+
+
+@query("p8_fill")
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.packing import fill, packed
+
+    return fill(packed(table(spark, d, "documents"), table(spark, d, "containers")))
