@@ -54,7 +54,14 @@ def quality_reason(c: Column, t: Thresholds = Thresholds()) -> Column:
     letters = F.length(F.regexp_replace(dense, r"[^\p{L}]+", ""))
     words = F.regexp_extract_all(c, F.lit(r"[\p{L}\p{Nl}\p{No}]+"), F.lit(0))
     lower = F.transform(words, lambda w: F.lower(w))
-    counts = F.transform(F.array_distinct(lower), lambda w: F.size(F.filter(lower, lambda x: x == w)))
+    # the longest run of equal words in sorted order
+    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("run"), F.lit(0).alias("most"))
+
+    def step(a: Column, w: Column) -> Column:
+        run = F.when(a["w"] == w, a["run"] + 1).otherwise(F.lit(1))
+        return F.struct(w.alias("w"), run.alias("run"), F.greatest(a["most"], run).alias("most"))
+
+    most = F.aggregate(F.array_sort(lower), start, step, lambda a: a["most"])
     upper = F.length(F.regexp_replace(dense, r"[^\p{Lu}]+", ""))
     urls = F.aggregate(F.regexp_extract_all(c, F.lit(URLISH), F.lit(0)), F.lit(0), lambda a, x: a + F.length(x))
     mixed = c.rlike(r"[A-Za-z][\p{L}\p{Nl}\p{No}]*[Ѐ-ӿ]|[Ѐ-ӿ][\p{L}\p{Nl}\p{No}]*[A-Za-z]")
@@ -65,7 +72,7 @@ def quality_reason(c: Column, t: Thresholds = Thresholds()) -> Column:
         .when(mixed, "aralash_alifbo")
         .when(upper / F.greatest(letters, F.lit(1)) > t.max_upper_ratio, "katta_harf_kop")
         .when(urls / n > t.max_url_ratio, "url_kop")
-        .when(F.array_max(counts) / F.size(words) > t.max_repeat_ratio, "ortiqcha_takror")
+        .when(most / F.size(words) > t.max_repeat_ratio, "ortiqcha_takror")
     )
 
 

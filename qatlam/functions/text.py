@@ -153,11 +153,11 @@ def changed_lines(c: Column) -> Column:
 
 def core(token: Column) -> Column:
     """A token without its trailing punctuation."""
-    return F.regexp_extract(token, r'^(.*?)([.,!?:;)"»]*)$', 1)
+    return F.regexp_extract(token, r'(?s)^(.*?)([.,!?:;)"»]*)$', 1)
 
 
 def suffix(token: Column) -> Column:
-    return F.regexp_extract(token, r'^(.*?)([.,!?:;)"»]*)$', 2)
+    return F.regexp_extract(token, r'(?s)^(.*?)([.,!?:;)"»]*)$', 2)
 
 
 def corrected(line: Column, fixes: Column) -> Column:

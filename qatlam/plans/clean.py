@@ -27,7 +27,8 @@ def cleaned(blocks: DataFrame, t: Thresholds = Thresholds(), least: int = 3) ->
     """(block_id, path, block_idx, page, clean_text, drop_reason): structure, language, quality, normalisation and the first
     of equal paragraphs in the order of path and index. Null texts are too short."""
     b = structured(blocks.select("block_id", "path", "block_idx", "page", F.coalesce("text", F.lit("")).alias("text")), least)
-    b = b.withColumn("latin", strip_garbage(to_latin(F.col("text"))))
+    # the explode of one element keeps the optimizer from copying this expression into each of its many uses
+    b = b.withColumn("latin", F.explode(F.array(strip_garbage(to_latin(F.col("text"))))))
     reason = F.coalesce(
         "structure_reason",
         F.when(~is_uzbek(language_score(F.col("latin")), t=t), "til_ozbekcha_emas"),
