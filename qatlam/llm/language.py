@@ -1,6 +1,6 @@
 """Language of each block and of each sentence in it (problem 6).
 
-Multinomial logistic regression on TF-IDF weighted character 1- to 3-grams, trained with follow-the-regularised-leader
+Multinomial logistic regression on TF-IDF weighted character 2- and 3-grams, trained with follow-the-regularised-leader
 (per-coordinate rates, elastic net) on a bounded sample of labelled blocks and calibrated with a temperature on held-out
 sentences. The model is one small table, so all blocks are scored in a single vectorised pass without a shuffle; only then
 are they joined with the labels they came with.
@@ -35,6 +35,9 @@ UNUSABLE = ["", "und", "unknown", "unk", "none", "null", "n/a", "mul", "zxx", "m
 _SENTENCE = re.compile(r"(?<=[.!?…])[»”\"’)]*\s+|\n+")
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACE = ord(" ")
+#: Signs and digits of ASCII and the no-break space are spaces; letters beyond ASCII and the apostrophe stay.
+_PLAIN = np.arange(1 << 16, dtype=np.uint16)
+_PLAIN[[i for i in range(128) if not (chr(i).isalpha() or i == 39)] + [160]] = _SPACE
 
 
 def label_code(label: Column) -> Column:
@@ -50,23 +53,21 @@ def sentences(text: str) -> list[str]:
 
 
 def grams(parts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each n of 1 to 3 the hashed n-grams of all parts and the number of the part of each."""
-    joined = "\n".join(" " + p.lower() + " " for p in parts)
-    c = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    part = np.cumsum(c == 10)
-    # signs and digits are all spaces; letters beyond ASCII and apostrophes stay
-    ascii_sign = (c < 128) & ~((c >= 97) & (c <= 122)) & (c != 39)
-    c = np.where(ascii_sign | (c == 160), np.uint64(_SPACE), c)
+    """For n of 2 and 3 the hashed n-grams of all parts and the number of the part of each. Letters are taken modulo 2^16,
+    which covers all scripts in use here."""
+    c = np.frombuffer("\n".join([" " + p + " " for p in parts]).lower().encode("utf-16-le", "replace"), dtype=np.uint16)
+    part = np.cumsum(c == 10, dtype=np.int32)
+    c = _PLAIN[c]
     with np.errstate(over="ignore"):
-        h1 = c * np.uint64(0x9E3779B97F4A7C15)
-        h2 = (h1[:-1] ^ (c[1:] * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0x165667B19E3779F9)
-        h3 = (h2[:-1] ^ (c[2:] * np.uint64(0x27D4EB2F165667C5))) * np.uint64(0x9E3779B185EBCA87)
-    top = np.uint64(48)
+        a = c.astype(np.uint32) * np.uint32(0x9E3779B1)
+        h2 = (a[:-1] ^ (a[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA77) + a[1:]
+        h3 = (h2[:-1] ^ (h2[:-1] >> np.uint32(13))) * np.uint32(0xC2B2AE3D) + a[2:]
     word = c != _SPACE
-    keep1, keep2, keep3 = word, word[:-1] | word[1:], word[1:-1]
+    keep2, keep3 = np.flatnonzero(word[:-1] | word[1:]), np.flatnonzero(word[1:-1])
+    top = np.uint32(16)
     return (
-        [(h1[keep1] >> top).astype(np.int64), (h2[keep2] >> top).astype(np.int64), (h3[keep3] >> top).astype(np.int64)],
-        [part[keep1], part[:-1][keep2], part[1:-1][keep3]],
+        [((h2[keep2] * np.uint32(0x27D4EB2F)) >> top).astype(np.int32), ((h3[keep3] * np.uint32(0x27D4EB2F)) >> top).astype(np.int32)],
+        [part[:-1][keep2], part[1:-1][keep3]],
     )
 
 
@@ -93,7 +94,7 @@ class Model:
 
 
 def _samples(parts: list[str], idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    ids = [np.zeros(0, dtype=np.int64)] * len(parts)
+    ids = [np.zeros(0, dtype=np.int32)] * len(parts)
     for g, part in zip(*grams(parts)):
         cuts = np.searchsorted(part, np.arange(1, len(parts)))
         ids = [np.concatenate((a, b)) for a, b in zip(ids, np.split(g, cuts))]
@@ -209,12 +210,11 @@ def languages(texts: list[str | None], model: Model) -> list[list[tuple[str, int
     if not parts:
         return [[] for _ in texts]
     p = model.probabilities(parts)
-    best, sure = p.argmax(axis=1), p.max(axis=1)
+    best, sure = p.argmax(axis=1).tolist(), p.max(axis=1).tolist()
     weak: list[dict[str, list[float]]] = [{} for _ in texts]
-    for i, k in enumerate(owner):
-        letters = _WORD.findall(parts[i])
-        strong = len(letters) >= LEAST_WORDS and sum(map(len, letters)) >= LEAST_LETTERS and sure[i] >= SURE
-        (out if strong else weak)[k].setdefault(LANGS[best[i]], []).append(float(sure[i]))
+    for k, s, i, x in zip(owner, parts, best, sure):
+        strong = x >= SURE and s.count(" ") >= LEAST_WORDS - 1 and sum(map(str.isalpha, s[: 4 * LEAST_LETTERS])) >= LEAST_LETTERS
+        (out if strong else weak)[k].setdefault(LANGS[i], []).append(x)
     for k, found in enumerate(out):
         if not found and weak[k]:
             lang = max(weak[k], key=lambda x: sum(weak[k][x]))
@@ -244,5 +244,6 @@ def block_languages(blocks: DataFrame, results: DataFrame) -> DataFrame:
 def relabelled(blocks: DataFrame, results: DataFrame, common: DataFrame) -> DataFrame:
     """(block_id, lang, sentences, confidence): one row per language of each case that is prose."""
     cases = block_languages(blocks, results).where("is_case").select("block_id", "text", "found")
-    prose = statistics(cases, common).where(kind().isNull())
+    # written out once, else the optimizer copies each statistic into every rule that uses it
+    prose = cut(statistics(cases, common)).where(kind().isNull())
     return prose.select("block_id", F.explode("found").alias("f")).select("block_id", "f.lang", "f.sentences", "f.confidence")
