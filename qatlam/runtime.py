@@ -36,3 +36,8 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows, reading no more than it must."""
     return df.limit(rows + 1).count() <= rows
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Over all shuffle partitions, however few bytes there are: for rows that cost much work each."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
