@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qatlam.llm.fold import APOSTROPHES
-from qatlam.runtime import cut, fits
+from qatlam.runtime import cut, fits, spread
 
 #: A clean twin stands in at least so many documents, and in RATIO times as many as the garbled word.
 CLEAN_DOCS = 4
@@ -140,7 +140,7 @@ def garbled_types(documents: DataFrame) -> DataFrame:
     words = types.mapInPandas(clean, "core string, n bigint").groupBy("core").agg(F.sum("n").alias("docs")).where(F.col("docs") >= CLEAN_DOCS)
     words = cut(words)
     odd = types.where(F.col("token").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))
-    guess = cut(odd.mapInPandas(guesses, "token string, n bigint, chain string, restored string, core string, share double"))
+    guess = cut(spread(odd, "token").mapInPandas(guesses, "token string, n bigint, chain string, restored string, core string, share double"))
     # how common the token's longest word is: a word that is common as it stands isn't garbled
     own = odd.mapInPandas(lambda bs: (pd.DataFrame([(t, max(cores(t), key=len)) for t in b["token"] if cores(t)], columns=["token", "core"]) for b in bs), "token string, core string")
     own = own.join(words, "core").groupBy("token").agg(F.max("docs").alias("own"))
