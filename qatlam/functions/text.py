@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Cyrillic letters and their Latin spelling; е and ц depend on their neighbours.
 CYRILLIC = {
@@ -85,7 +86,7 @@ def strip_garbage(c: Column) -> Column:
     return F.array_join(F.transform(F.split(c, "\n"), strip_garbage_line), "\n")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Unicode composition, which has no built-in; apply it to the rows that have combining marks."""
     return s.map(lambda x: unicodedata.normalize("NFC", x) if isinstance(x, str) else None)
@@ -175,7 +176,7 @@ def token_estimate(c: Column, chars_per_token: float = 4.0) -> Column:
     if chars_per_token <= 0:
         raise ValueError("chars_per_token must be positive")
     n = F.length(c)
-    return F.when(n == 0, 0).otherwise(F.greatest(F.lit(1), F.bround(n / F.lit(chars_per_token)))).cast("bigint")
+    return F.when(n == 0, 0).when(n > 0, F.greatest(F.lit(1), F.bround(n / F.lit(chars_per_token)))).cast("bigint")
 
 
 def clean_lines(c: Column) -> Column:
