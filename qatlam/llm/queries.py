@@ -108,6 +108,13 @@ def p5_text(spark: SparkSession, d: str) -> DataFrame:
     return Repaired(table(spark, d, "ocr_pages")).text()
 
 
+@query("p4_document_tokens")
+def p4_document_tokens(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.tokens import with_tokens
+
+    return with_tokens(table(spark, d, "documents"), "doc_id")
+
+
 @query("p4_documents")
 def p4_documents(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.tokens import slice_tokens
