@@ -38,32 +38,31 @@ def stripped(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
 
 
-def _latin_word(w: Column) -> Column:
-    """A word that isn't all in capitals."""
-    v = VOWELS + VOWELS.upper()
-    for c, t in (("ц", "ts"), ("Ц", "Ts")):
-        w = F.regexp_replace(w, rf"^{c}|(?<=[{v}]){c}(?=[{v}])", t)
-    for c, t in (("е", "ye"), ("Е", "Ye")):
-        w = F.regexp_replace(w, rf"(?<=^|[{v}]){c}", t)
+def to_latin(c: Column) -> Column:
+    """Cyrillic words in Latin letters: a capital is expanded in capitals within an all-capital word, else in title case;
+    Latin words, digits and signs stay. Works on whole texts by a fixed number of replacements; whether a word is all in
+    capitals is looked up 60 letters back."""
+    low, v = "a-zа-яёўқғҳ", VOWELS + VOWELS.upper()
+    # each pattern starts with the letter itself, so the look-arounds run at that letter only
+    caps = f"(?<![{low}][{WORD_LETTERS}]{{1,60}})(?![{WORD_LETTERS}]*[{low}])"
+    x = c
+    for letter, t in (("ц", "ts"), ("е", "ye")):
+        for k in (letter.upper(), letter):
+            here = f"{k}(?:(?<![{WORD_LETTERS}]{k})|(?<=[{v}]{k}){f'(?=[{v}])' if letter == 'ц' else ''})"
+            if k != letter:
+                x = F.regexp_replace(x, here + caps, t.upper())
+            x = F.regexp_replace(x, here, t if k == letter else t.title())
+    for k, t in CYRILLIC.items():
+        if len(t) == 2 and t[1].isalpha():
+            x = F.regexp_replace(x, k.upper() + caps, t.upper())
     letters = CYRILLIC | {"е": "e", "ц": "s"}
-    letters |= {k.upper(): v[:1].upper() + v[1:] for k, v in letters.items()}
-    one = {k: v for k, v in letters.items() if len(v) == 1}
+    letters |= {k.upper(): s[:1].upper() + s[1:] for k, s in letters.items()}
     for k, t in letters.items():
         if len(t) > 1:
-            w = F.replace(w, F.lit(k), F.lit(t))
-    return F.translate(F.translate(w, "".join(one), "".join(one.values())), "ьЬ", "")
-
-
-def to_latin(c: Column) -> Column:
-    """Cyrillic words in Latin letters, word by word: an all-capital word is expanded in capitals, another word's capitals
-    in title case; Latin words, digits and signs stay."""
-    parts = F.regexp_extract_all(c, F.lit(f"[{WORD_LETTERS}]+|[^{WORD_LETTERS}]+"), F.lit(0))
-
-    def part(w: Column) -> Column:
-        caps = ~w.rlike("[a-zа-яёўқғҳ]")
-        return F.when(~w.rlike("[а-яА-ЯёЁўЎқҚғҒҳҲ]"), w).when(caps, F.upper(_latin_word(F.lower(w)))).otherwise(_latin_word(w))
-
-    return F.when(c.rlike("[а-яА-ЯёЁўЎқҚғҒҳҲ]"), F.array_join(F.transform(parts, part), "")).otherwise(c)
+            x = F.replace(x, F.lit(k), F.lit(t))
+    one = {k: t for k, t in letters.items() if len(t) == 1}
+    x = F.translate(x, "".join(one) + "ьЬ", "".join(one.values()))
+    return F.when(c.rlike("[а-яА-ЯёЁўЎқҚғҒҳҲ]"), x).otherwise(c)
 
 
 def good_token(t: Column) -> Column:

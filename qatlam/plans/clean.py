@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from qatlam.functions.quality import Thresholds, is_uzbek, language_score, quality_reason, structure_reason
 from qatlam.functions.text import content_hash, normalized, repeat_form, strip_garbage, to_latin, token_estimate
 from qatlam.operators.dedup import flag_repeats
+from qatlam.runtime import cut
 
 
 def repeated_texts(blocks: DataFrame, least: int = 3) -> DataFrame:
@@ -37,7 +38,8 @@ def cleaned(blocks: DataFrame, t: Thresholds = Thresholds(), least: int = 3) ->
     b = b.select("block_id", "path", "block_idx", "page", normalized(F.col("latin")).alias("clean_text"), reason.alias("reason"))
     b = b.withColumn("reason", F.coalesce("reason", F.when(F.col("clean_text") == "", "normalizatsiyadan_song_bosh")))
     b = b.withColumn("key", F.when(F.col("reason").isNull(), content_hash(F.col("clean_text"))))
-    b = flag_repeats(b, "key", ["path", "block_idx"])
+    # first paragraphs and their rows come from the same table, which is not worked out twice
+    b = flag_repeats(cut(b), "key", ["path", "block_idx"])
     return b.select("block_id", "path", "block_idx", "page", "clean_text", F.coalesce("reason", F.when(F.col("is_repeat"), "takror")).alias("drop_reason"))
 
 
