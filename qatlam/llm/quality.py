@@ -34,8 +34,10 @@ def statistics(texts: DataFrame, common: DataFrame, text: str = "text") -> DataF
     lists = {r["lang"]: sorted(r["words"]) for r in common.where("length(word) > 1").groupBy("lang").agg(F.collect_set(F.lower("word")).alias("words")).collect()}
     t = F.when(F.col(text).rlike(r"\S"), F.col(text))
     keep = [c for c in texts.columns if c != text]
-    a = texts.select(*keep, t.alias("_t"), F.regexp_replace(t, r"[\s ]+", "").alias("_ns"), F.split(F.lower(t), r"[^\p{L}'’‘ʻʼ`]+").alias("_w"))
-    a = a.select(*keep, "_t", "_w", F.length("_ns").alias("n_chars"), F.regexp_replace("_ns", r"\p{L}+", "").alias("_rest"), F.array_distinct("_w").alias("_d"))
+    # what is neither a letter nor a space is short, and so is all space: only these are copied
+    a = texts.select(*keep, t.alias("_t"), F.split(F.lower(t), r"[^\p{L}'’‘ʻʼ`]+").alias("_w"), F.regexp_replace(t, r"[\p{L}\s\u00a0]+", "").alias("_rest"),
+                     (F.length(t) - F.length(F.regexp_replace(t, r"[^\s\u00a0]+", ""))).alias("n_chars"))
+    a = a.withColumn("_d", F.array_distinct("_w"))
     blank = F.array_contains("_d", "").cast("int")
     empty = F.when(F.element_at("_w", 1) == "", 1).otherwise(0) + F.when((F.size("_w") > 1) & (F.element_at("_w", -1) == ""), 1).otherwise(0)
     hits = {lang: F.size(F.array_intersect("_d", F.array(*[F.lit(w) for w in ws]))) for lang, ws in lists.items() if lang in LANGUAGES}
@@ -54,8 +56,8 @@ def statistics(texts: DataFrame, common: DataFrame, text: str = "text") -> DataF
         count(r"\t|\||;| {3,}| ?· ?").alias("n_columns"),
         count(_BULLET).alias("n_bullets"),
         count(r"\p{L}\p{Nd}|\p{Nd}\p{L}").alias("n_fused"),
-        count(r"(?i)[bcdfghjklmnpqrstvwxz]{5}").alias("n_clusters"),
-        count(r"\p{IsCyrillic}{3}").alias("_cyr"),
+        count(r"[bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ]{5}").alias("n_clusters"),
+        count(r"[Ѐ-ӿ]{3}").alias("_cyr"),
         *[h.alias(f"_h_{k}") for k, h in hits.items()],
     )
     best = F.greatest(*[F.col(f"_h_{k}") for k in hits], F.lit(0)) if hits else F.lit(0)
