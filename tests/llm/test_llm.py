@@ -376,3 +376,17 @@ def test_no_query_needs_a_session_to_be_listed():
     from qatlam.llm import queries
 
     assert json.dumps(sorted(queries.QUERIES)) and {f"p{n}_found" for n in (1, 2, 3, 5, 6, 7, 9, 10)} <= set(queries.QUERIES)
+
+
+def test_ocr_corrections_in_parts(spark, monkeypatch):
+    good = "shahar kitob maktab bilan daraxt uchun yangi katta"
+    data = [("b0", i, "\n".join([good] * 8)) for i in range(1, 9)] + [("b0", 9, "shahаr kit0b mаktab bi1an dаraxt\nkatta yan-"), ("b0", 10, "gi shahar.")]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(data)], "ocr_id long, path string, page int, text string")
+    whole = ocr.Repaired(df)
+    want = rows(whole.findings()), rows(whole.text(), "ocr_id", "paragraphs")
+    r = ocr.Repaired(df)
+    words = whole.best[0].value
+    assert len(words) >= 4
+    r.best = [spark.sparkContext.broadcast({w: c for k, (w, c) in enumerate(sorted(words.items())) if k % 3 == i}) for i in range(3)]
+    assert (rows(r.findings()), rows(r.text(), "ocr_id", "paragraphs")) == want
+    assert dict(want[1])[8] == ["shahar kitob maktab bilan daraxt katta yangi"]
