@@ -1,12 +1,12 @@
 """Duplicates of new texts among everything accepted before (problem 7).
 
 A text is a multiset of words; the metric is the size of the symmetric difference of two multisets. The words are dealt
-into cells by hash, and each cell has a fixed pivot, the empty text. Two metrics hold in a cell: the plain one and one
-with a pseudo-random weight per word. The table keeps of every text its distances to the pivots: plain ones for ``PIVOTS``
-coarse cells, whose differences sum to a lower bound of the true distance (triangle inequality), and weighted ones for
-fine cells. Texts that differ in few words agree exactly in some fine cells, so there their pivot distances differ by
-nothing: the range of the join is a single value, and the table is partitioned by it. Pairs that pass the bound are
-verified on their texts. History is read only as this narrow table and as the texts of the pairs that remain.
+into ``CELLS`` cells by hash, and each cell has a fixed pivot, the empty text. The table keeps of every text the parities
+of its distances to the pivots: the cells in which two texts differ are a lower bound of the true distance (triangle
+inequality). Which pairs are compared is decided by a prefix filter: all words have one order, rare ones first, and two
+texts within the tolerance share one of the first words of both, as many as may be missing and one more. So no pair
+within the tolerance is left out. Pairs that pass the bound are verified on their texts. History is read only as this
+narrow table and as the texts of the pairs that remain.
 """
 
 from __future__ import annotations
@@ -17,26 +17,29 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qatlam.llm.fold import plain_words
 from qatlam.runtime import cut, fits
 
-PIVOTS = 64
-LEAST = 4
+CELLS = 1024
 #: Share of a text's words that may be missing from, or added in, its copy.
 TOLERANCE = 0.2
 #: Words that a copy may have more or less at its ends, besides.
 ENDS = 6
-#: A text meets the LAG texts before it and the first one that share a cell with it. Texts that differ little share many
-#: cells, so a pair that is too far apart in one crowded cell meets in others.
-LAG = 12
+#: Words whose frequency orders the prefixes; all others count as rarer. Any fixed order gives the same result.
+FREQUENT = 200_000
+#: Texts for which there is one group of prefix words at least.
+GROUP_TEXTS = 200_000
+#: Pairs that are compared at once.
+PAIRS = 1_000_000
 #: Ids of texts to verify up to which they are broadcast.
 SHIP_IDS = 1_000_000
 SALT = 8
 
-_SIG = "id bigint, h1 bigint, h2 bigint, n int, pivots array<smallint>, cells array<bigint>"
+_SIG = "id bigint, h1 bigint, h2 bigint, n int, prefix array<bigint>, parities binary"
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -45,21 +48,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _fine(h: np.ndarray, k: int) -> np.ndarray:
-    """Keys of (size class, cell, weighted distance to the cell's pivot). Cells of fewer than LEAST words, which many
-    unrelated texts share, are left out of texts that have fuller ones."""
-    cells = np.uint64(max(6, 2**k // 6))
-    cell = (h >> np.uint64(17)) % cells
-    order = np.argsort(cell, kind="stable")
-    c = cell[order]
-    starts = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-    with np.errstate(over="ignore"):
-        weight = np.add.reduceat(_mix(h * _M2)[order], starts)
-        keys = _mix(weight + c[starts] * _M2 + np.uint64(k) * _M1).view(np.int64)
-    return keys if len(h) < 18 else keys[np.diff(np.append(starts, len(c))) >= LEAST]
+def missing(n):
+    """How many of its ``n`` words a text may lack in its copy, unrounded."""
+    return TOLERANCE * n + ENDS * (n > 4 * ENDS)
 
 
-def signature(words: list[str], cache: dict[str, int]) -> tuple[int, int, int, list[int], list[int]]:
+def _tokens(words: list[str], cache: dict[str, int]) -> np.ndarray:
+    """A hash of each word and how often it stood before, so equal words are told apart and a multiset is a set."""
     if len(cache) > 2_000_000:
         cache.clear()
     h = np.empty(len(words), dtype=np.uint64)
@@ -68,18 +63,46 @@ def signature(words: list[str], cache: dict[str, int]) -> tuple[int, int, int, l
         if v is None:
             v = cache[w] = xxhash.xxh64_intdigest(w)
         h[i] = v
+    h.sort()
+    at = np.arange(len(h))
+    begin = np.concatenate(([True], h[1:] != h[:-1]))
+    turn = at - np.maximum.accumulate(np.where(begin, at, 0))
+    with np.errstate(over="ignore"):
+        return _mix(h + turn.astype(np.uint64) * _M2)
+
+
+def word_order(texts: DataFrame) -> DataFrame:
+    """(token, n) of the FREQUENT most frequent words, counted by texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache: dict[str, int] = {}
+        for b in batches:
+            t = [_tokens(w, cache) for w in map(plain_words, b["text"]) if w]
+            if t:
+                token, n = np.unique(np.concatenate(t), return_counts=True)
+                yield pd.DataFrame({"token": token.view(np.int64), "n": n})
+
+    counted = texts.where(F.col("text").isNotNull()).select("text").mapInPandas(run, "token bigint, n bigint")
+    return counted.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT)
+
+
+def signature(words: list[str], cache: dict[str, int], frequent: np.ndarray, counts: np.ndarray) -> tuple[int, int, int, list[int], bytes]:
     n = len(words)
     d = xxhash.xxh128_intdigest(" ".join(words))
-    # a copy may fall into the next size class: near a border both are kept
-    classes = {int(np.log2(n)), int(np.log2(n * 1.15 + 1)), int(np.log2(max(1, n / 1.15 - 1)))}
-    with np.errstate(over="ignore"):
-        cells = np.concatenate([_fine(h, k) for k in sorted(classes)])
+    t = _tokens(words, cache)
+    at = np.minimum(np.searchsorted(frequent, t), len(frequent) - 1)
+    often = np.where(frequent[at] == t, counts[at], 0)
+    prefix = t[np.lexsort((t, often))[: int(missing(n)) + 1]]
+    parities = np.packbits(np.bincount((t >> np.uint64(40)) % np.uint64(CELLS), minlength=CELLS).astype(np.uint8) & 1)
     half = lambda x: (x & (2**64 - 1)) - 2**63
-    return half(d), half(d >> 64), n, np.minimum(np.bincount((h >> np.uint64(40)) % np.uint64(PIVOTS), minlength=PIVOTS), 32_000).tolist(), cells.tolist()
+    return half(d), half(d >> 64), n, prefix.view(np.int64).tolist(), parities.tobytes()
 
 
-def pivot_table(texts: DataFrame) -> DataFrame:
-    """Of (id, text) the table of pivot distances; texts without words are left out."""
+def pivot_table(texts: DataFrame, order: DataFrame) -> DataFrame:
+    """Of (id, text) the table of pivot distances and prefixes; texts without words are left out."""
+    o = order.toPandas().sort_values("token", key=lambda c: c.to_numpy().view(np.uint64))
+    sent = texts.sparkSession.sparkContext.broadcast((
+        np.append(o["token"].to_numpy().view(np.uint64), np.uint64(2**64 - 1)), np.append(o["n"].to_numpy(), 0)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, int] = {}
@@ -88,42 +111,54 @@ def pivot_table(texts: DataFrame) -> DataFrame:
             for i, t in zip(b["id"], b["text"]):
                 w = plain_words(t)
                 if w:
-                    rows.append((i, *signature(w, cache)))
+                    rows.append((i, *signature(w, cache, *sent.value)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SIG.split(", ")])
 
     return texts.where(F.col("text").isNotNull()).select("id", "text").mapInPandas(run, _SIG)
 
 
-def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (key, id) come sorted. Pairs each id with the LAG ids before it under the same key and with the first one."""
-    k0, i0 = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    first_key, first_id = None, 0
-    for b in batches:
-        key, ident = np.concatenate([k0, b["key"].to_numpy()]), np.concatenate([i0, b["id"].to_numpy()])
-        old = len(k0)
-        out_a, out_b = [], []
-        for lag in range(1, LAG + 1):
-            same = np.flatnonzero(key[lag:] == key[:-lag]) + lag
-            same = same[same >= old]
-            out_a.append(ident[same - lag])
-            out_b.append(ident[same])
-        begin = np.concatenate(([True], key[1:] != key[:-1]))
-        at = np.maximum.accumulate(np.where(begin, np.arange(len(key)), 0))
-        head = ident[at]
-        if first_key is not None and len(key):
-            head = np.where(key == first_key, first_id, head)
-        far = np.arange(len(key)) - at > LAG
-        if first_key is not None:
-            far |= (key == first_key) & (head != ident)
-        far[:old] = False
-        out_a.append(head[far])
-        out_b.append(ident[far])
-        if len(key):
-            if first_key is None or key[-1] != first_key:
-                first_key, first_id = key[-1], ident[at[-1]]
-            k0, i0 = key[-LAG:], ident[-LAG:]
-        a, c = np.concatenate(out_a), np.concatenate(out_b)
-        yield pd.DataFrame({"a": np.minimum(a, c), "b": np.maximum(a, c)}).query("a != b").drop_duplicates()
+def _group_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of the texts of one group, all pairs that share a prefix word, of which one is new, and that lengths, the word's
+    places and the pivot distances leave room for."""
+    ident, n, new = rows["id"].to_numpy(), rows["n"].to_numpy().astype(np.int64), rows["new"].to_numpy(dtype=bool)
+    wide = np.frombuffer(b"".join(rows["parities"]), dtype=np.uint64).reshape(len(rows), -1)
+    # parities of fewer, larger cells are a bound too, and faster
+    narrow = np.bitwise_xor.reduce(wide.reshape(len(rows), 4, -1), axis=1)
+    need = n - np.floor(missing(n)).astype(np.int64)
+    each = rows["places"].map(len).to_numpy()
+    text, place, key = np.repeat(np.arange(len(rows)), each), np.concatenate(rows["places"].to_numpy()).astype(np.int64), np.concatenate(rows["keys"].to_numpy())
+    order = np.lexsort((n[text], key))
+    text, place, key = text[order], place[order], key[order]
+    # rows of a key come by length: a text meets those after it that are not too long for it
+    size = n[text]
+    last = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+    end = last[np.searchsorted(last, np.arange(len(key)), side="right")]
+    rank = np.cumsum(np.concatenate(([0], key[1:] != key[:-1]))) * (int(n.max()) + 2)
+    lengths = np.arange(int(n.max()) + 2)
+    shortest = np.minimum.accumulate((lengths - np.floor(missing(lengths)).astype(np.int64))[::-1])[::-1]
+    longest = np.searchsorted(shortest, lengths, side="right") - 1
+    stop = np.minimum(end, np.searchsorted(rank + size, rank + np.minimum(longest[size], int(n.max())), side="right"))
+    count = np.maximum(stop - np.arange(len(key)) - 1, 0)
+    before = np.concatenate(([0], np.cumsum(count)))
+    found = []
+    lo = 0
+    while lo < len(key):
+        hi = max(lo + 1, int(np.searchsorted(before, before[lo] + PAIRS, side="right")) - 1)
+        c = count[lo:hi]
+        left = np.repeat(np.arange(lo, hi), c)
+        right = left + 1 + np.arange(len(left)) - np.repeat(before[lo:hi] - before[lo], c)
+        lo = hi
+        x, y, i, j = text[left], text[right], place[left], place[right]
+        least = np.maximum(need[x], need[y])
+        ok = np.minimum(i, j) + 1 + np.minimum(n[x] - i, n[y] - j) - 1 >= least
+        ok &= new[x] | new[y]
+        x, y, least = x[ok], y[ok], least[ok]
+        for p in (narrow, wide):
+            near = np.bitwise_count(p[x] ^ p[y]).sum(axis=1, dtype=np.int64) <= n[x] + n[y] - 2 * least
+            x, y, least = x[near], y[near], least[near]
+        found.append(np.unique(np.stack([np.minimum(ident[x], ident[y]), np.maximum(ident[x], ident[y])]), axis=1))
+    a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+    return pd.DataFrame({"a": a, "b": b})
 
 
 def _salted(left: DataFrame, right: DataFrame, on: list[str], by: str) -> DataFrame:
@@ -133,20 +168,21 @@ def _salted(left: DataFrame, right: DataFrame, on: list[str], by: str) -> DataFr
 
 
 def candidate_pairs(table: DataFrame) -> DataFrame:
-    """(a, b) with a < b of all texts whose pivot distances leave room for a small distance."""
-    cells = table.select(F.explode("cells").alias("key"), "id")
-    pairs = cells.repartition("key").sortWithinPartitions("key", "id").mapInPandas(_neighbours, "a bigint, b bigint").distinct()
-    side = lambda x: table.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("pivots").alias(f"p_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    bound = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, x: s + x)
-    return both.where(bound <= TOLERANCE * (F.col("n_a") + F.col("n_b")) + ENDS).select("a", "b")
+    """(a, b) with a < b of all texts, one of them new, whose prefixes and pivot distances leave room for a small distance.
+    Prefix words are dealt into groups; a text goes to each group that has words of it, once."""
+    parts = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), table.count() // GROUP_TEXTS)
+    words = F.transform("prefix", lambda k, i: F.struct(F.pmod(k, F.lit(parts)).cast("int").alias("g"), i.cast("int").alias("place"), k.alias("key")))
+    groups = table.select("id", "n", "new", "parities", words.alias("words")).withColumn("g", F.explode(F.array_distinct("words.g")))
+    mine = F.filter("words", lambda w: w["g"] == F.col("g"))
+    rows = groups.select("g", "id", "n", "new", "parities", mine["place"].alias("places"), mine["key"].alias("keys"))
+    return rows.groupBy("g").applyInPandas(_group_pairs, "a bigint, b bigint").distinct()
 
 
 def same_text(a: str, b: str) -> bool:
     """Whether the multisets of words differ by no more than the tolerance on either side."""
     x, y = Counter(plain_words(a)), Counter(plain_words(b))
     n, m = x.total(), y.total()
-    return (x - y).total() <= TOLERANCE * n + (ENDS if n > 4 * ENDS else 0) and (y - x).total() <= TOLERANCE * m + (ENDS if m > 4 * ENDS else 0)
+    return (x - y).total() <= missing(n) and (y - x).total() <= missing(m)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -185,7 +221,7 @@ def repeats(texts: DataFrame, table: DataFrame | None = None) -> DataFrame:
     """(result_id_a, result_id_b): b repeats the accepted text a, a < b. ``texts`` holds (id, text), ids unique and in order
     of arrival. Null texts and texts without words repeat nothing. Exact copies are first reduced to their first text, so a
     group of copies of any size costs one row in the join."""
-    table = cut(pivot_table(texts) if table is None else table)
+    table = cut(pivot_table(texts, word_order(texts)).withColumn("new", F.lit(True)) if table is None else table)
     first = table.groupBy("h1", "h2", "n").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
     copies = cut(_salted(table.select("h1", "h2", "n", "id"), first, ["h1", "h2", "n"], "id").where("id <> first").select("id", "first"))
     single = table.join(copies.select("id"), "id", "left_anti")
@@ -196,31 +232,37 @@ def repeats(texts: DataFrame, table: DataFrame | None = None) -> DataFrame:
 
 
 class History:
-    """The pivot table of all accepted texts in a folder, to which each batch appends."""
+    """The pivot table of all accepted texts in a folder, to which each batch appends. The order of words is fixed by the
+    first batch and kept beside it."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def table(self) -> DataFrame | None:
+    def _read(self, name: str) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(self.path)
-        except Exception:  # nothing has been accepted yet
+            return self.spark.read.parquet(f"{self.path}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
+    def table(self) -> DataFrame | None:
+        return self._read("texts")
+
+    def order(self, batch: DataFrame) -> DataFrame:
+        if self._read("order") is None:
+            word_order(batch).write.parquet(f"{self.path}/order")
+        return self._read("order")
+
     def match(self, batch: DataFrame, texts: DataFrame) -> DataFrame:
         """As ``repeats``, for the rows of ``batch`` (id, text) only. Of ``texts``, all texts accepted before, only those of
-        candidate pairs are read in full; of the pivot table, exact twins and rows that share a cell with the batch."""
-        new = cut(pivot_table(batch))
+        candidate pairs are read in full; of the pivot table all rows, which meet the batch and not each other."""
+        new = pivot_table(batch, self.order(batch)).withColumn("new", F.lit(True))
         old = self.table()
-        if old is None:
-            return repeats(batch, new)
-        cells = new.select(F.explode("cells").alias("key")).distinct()
-        near = old.select("id", F.explode("cells").alias("key")).join(cells, "key", "left_semi").select("id").distinct()
-        twins = old.join(new.select("h1", "h2", "n").distinct(), ["h1", "h2", "n"], "left_semi").select("id")
-        part = old.join(near.union(twins).distinct(), "id", "left_semi")
-        return repeats(texts.select("id", "text").unionByName(batch.select("id", "text")), part.unionByName(new))
+        part = new if old is None else old.withColumn("new", F.lit(False)).unionByName(new)
+        return repeats(texts.select("id", "text").unionByName(batch.select("id", "text")), part)
 
     def append(self, batch: DataFrame, matched: DataFrame) -> None:
         """Adds the batch's texts that repeat nothing."""
         new = batch.join(matched.select(F.col("result_id_b").alias("id")), "id", "left_anti")
-        pivot_table(new).write.mode("append").parquet(self.path)
+        pivot_table(new, self.order(batch)).write.mode("append").parquet(f"{self.path}/texts")

@@ -272,6 +272,27 @@ def test_repeats_of_odd_texts(spark):
     assert history.repeats(df.where("id > 99")).count() == 0
 
 
+def edited(words, rng, vocabulary, share, more):
+    """A copy of ``words`` with ``share`` of them replaced and ``more`` added at the end."""
+    out = list(words)
+    for i in rng.sample(range(len(out)), int(len(out) * share)):
+        out[i] = rng.choice(vocabulary)
+    return out + rng.choices(vocabulary, k=more)
+
+
+@pytest.mark.parametrize("least,most", [(18, 63), (64, 127), (128, 255), (256, 600)])
+def test_edited_copies_of_every_length_meet(spark, least, most):
+    rng = random.Random(least)
+    vocabulary = [f"soz{i}" for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    texts = [rng.choices(vocabulary, weights, k=rng.randint(least, most)) for _ in range(60)]
+    pairs = [(i, edited(t, rng, vocabulary, 0.1 if i % 2 else 0.2, 3)) for i, t in enumerate(texts)]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in pairs]
+    want = [(i, 1000 + i) for i, t in pairs if history.same_text(" ".join(texts[i]), " ".join(t))]
+    assert len(want) > 50
+    assert set(rows(history.repeats(spark.createDataFrame(data, "id long, text string")))) >= set(want)
+
+
 def test_chains_follow_accepted_texts(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (1, 4), (3, 4), (5, 6), (6, 7), (7, 8)], "a long, b long")
     assert rows(history.accepted_of(links)) == [(2, 1), (4, 1), (6, 5), (8, 7)]
