@@ -33,6 +33,8 @@ ENDS = 6
 FREQUENT = 200_000
 #: Texts for which there is one group of prefix words at least.
 GROUP_TEXTS = 200_000
+#: Texts of a group that one task compares; larger groups are split into blocks, each of which meets each other.
+BLOCK = 100_000
 #: Pairs that are compared at once.
 PAIRS = 1_000_000
 #: Ids of texts to verify up to which they are broadcast.
@@ -118,9 +120,11 @@ def pivot_table(texts: DataFrame, order: DataFrame) -> DataFrame:
 
 
 def _group_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of the texts of one group, all pairs that share a prefix word, of which one is new, and that lengths, the word's
+    """Of the texts of one group, or of two blocks of it, all pairs that share a prefix word, of which one is new, and that lengths, the word's
     places and the pivot distances leave room for."""
     ident, n, new = rows["id"].to_numpy(), rows["n"].to_numpy().astype(np.int64), rows["new"].to_numpy(dtype=bool)
+    block = rows["block"].to_numpy()
+    within = rows["other"].iloc[0] == rows["one"].iloc[0]
     wide = np.frombuffer(b"".join(rows["parities"]), dtype=np.uint64).reshape(len(rows), -1)
     # parities of fewer, larger cells are a bound too, and faster
     narrow = np.bitwise_xor.reduce(wide.reshape(len(rows), 4, -1), axis=1)
@@ -151,7 +155,7 @@ def _group_pairs(rows: pd.DataFrame) -> pd.DataFrame:
         x, y, i, j = text[left], text[right], place[left], place[right]
         least = np.maximum(need[x], need[y])
         ok = np.minimum(i, j) + 1 + np.minimum(n[x] - i, n[y] - j) - 1 >= least
-        ok &= new[x] | new[y]
+        ok &= (new[x] | new[y]) & ((block[x] != block[y]) | within)
         x, y, least = x[ok], y[ok], least[ok]
         for p in (narrow, wide):
             near = np.bitwise_count(p[x] ^ p[y]).sum(axis=1, dtype=np.int64) <= n[x] + n[y] - 2 * least
@@ -169,13 +173,18 @@ def _salted(left: DataFrame, right: DataFrame, on: list[str], by: str) -> DataFr
 
 def candidate_pairs(table: DataFrame) -> DataFrame:
     """(a, b) with a < b of all texts, one of them new, whose prefixes and pivot distances leave room for a small distance.
-    Prefix words are dealt into groups; a text goes to each group that has words of it, once."""
+    Prefix words are dealt into groups; a text goes to each group that has words of it, once. The groups' sizes decide in
+    how many blocks each is split, so a word that a third of all texts share fills no task; every two blocks meet."""
     parts = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), table.count() // GROUP_TEXTS)
     words = F.transform("prefix", lambda k, i: F.struct(F.pmod(k, F.lit(parts)).cast("int").alias("g"), i.cast("int").alias("place"), k.alias("key")))
     groups = table.select("id", "n", "new", "parities", words.alias("words")).withColumn("g", F.explode(F.array_distinct("words.g")))
     mine = F.filter("words", lambda w: w["g"] == F.col("g"))
     rows = groups.select("g", "id", "n", "new", "parities", mine["place"].alias("places"), mine["key"].alias("keys"))
-    return rows.groupBy("g").applyInPandas(_group_pairs, "a bigint, b bigint").distinct()
+    sizes = rows.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(F.broadcast(sizes), "g").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop("with", "blocks")
+    return rows.groupBy("g", "one", "other").applyInPandas(_group_pairs, "a bigint, b bigint").distinct()
 
 
 def same_text(a: str, b: str) -> bool:

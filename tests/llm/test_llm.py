@@ -293,6 +293,19 @@ def test_edited_copies_of_every_length_meet(spark, least, most):
     assert set(rows(history.repeats(spark.createDataFrame(data, "id long, text string")))) >= set(want)
 
 
+def test_pairs_under_a_crowded_word_all_meet(spark, monkeypatch):
+    # every text is built on one template and the copies are far behind their originals
+    monkeypatch.setattr(history, "BLOCK", 25)
+    rng = random.Random(3)
+    vocabulary = [f"soz{i}" for i in range(400)]
+    texts = [[f"shablon{i}" for i in range(12)] + rng.sample(vocabulary, 4) for _ in range(150)]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts + [edited(t, rng, vocabulary, 0.2, 0) for t in texts])]
+    table = history.pivot_table(df := spark.createDataFrame(data, "id long, text string"), history.word_order(df)).withColumn("new", F.lit(True))
+    want = [(a, b) for a, x in data for b, y in data if a < b and history.same_text(x, y)]
+    assert len(want) >= 100
+    assert rows(history.verified(history.candidate_pairs(table), df), "a", "b") == want
+
+
 def test_chains_follow_accepted_texts(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (1, 4), (3, 4), (5, 6), (6, 7), (7, 8)], "a long, b long")
     assert rows(history.accepted_of(links)) == [(2, 1), (4, 1), (6, 5), (8, 7)]
