@@ -52,24 +52,16 @@ def header_key(line: str) -> str:
     return "".join(c for c in norm(_SIDE.sub("", line)) if c.isalpha())
 
 
+def alike(key: str, header: str) -> bool:
+    """Whether a line's letters are a header's, perhaps misread."""
+    return key == header or (abs(len(key) - len(header)) <= 3 and SequenceMatcher(None, key, header, autojunk=False).ratio() >= 0.8)
+
+
 def is_furniture(line: str, headers: list[str], edge: bool) -> bool:
-    """Whether a line at a page's edge is a page number or one of the book's running headers, perhaps misread."""
+    """Whether a line at a page's edge is a page number or has the letters of one of ``headers``."""
     if not edge:
         return False
-    s = line.strip()
-    if len(s) > 70:
-        return False
-    if _NUMBER.match(s):
-        return True
-    k = header_key(s)
-    if not k:
-        return False
-    for h in headers:
-        if k == h:
-            return True
-        if abs(len(k) - len(h)) <= 3 and SequenceMatcher(None, k, h, autojunk=False).ratio() >= 0.8:
-            return True
-    return False
+    return bool(_NUMBER.match(line.strip())) or header_key(line) in headers
 
 
 def furniture_lines(lines: list[str], headers: list[str]) -> set[int]:
@@ -212,19 +204,35 @@ def corrections(word: str, n: int, trie: Trie) -> list[tuple[str, int, int, int]
 
 
 def with_context(pages: DataFrame) -> DataFrame:
-    """(ocr_id, path, page, text, headers, beyond, behind): each page with its book's running headers, the next page's first
-    text line and the last one of the page before. Joins are on (path, page), which is unique, and on path with at most three headers a book."""
+    """(ocr_id, path, page, text, headers, beyond, behind): each page with those of its edge lines' keys that are running
+    headers of its book, the next page's first text line and the last one of the page before. A book has any number of
+    headers; no row holds more of them than its page has edge lines."""
     p = pages.where(F.col("text").isNotNull()).select("ocr_id", "path", "page", "text")
     filled = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"\S"))
     edges = cut(p.select("ocr_id", "path", "page", F.slice(filled, 1, EDGE).alias("top"), F.reverse(F.slice(F.reverse(filled), 1, EDGE)).alias("bottom")))
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<struct<key:string,near:boolean>>")
     def keys(top: pd.Series, bottom: pd.Series) -> pd.Series:
-        return pd.Series([sorted({header_key(x) for x in [*a[:2], *b[-2:]] if len(x.strip()) <= 60 and len(x.split()) <= 8} - {""}) for a, b in zip(top, bottom)])
+        out = []
+        for a, b in zip(top, bottom):
+            near = {header_key(x) for x in [*a[:2], *b[-2:]]}
+            out.append([{"key": k, "near": k in near} for k in sorted({header_key(x) for x in [*a, *b]} - {""})])
+        return pd.Series(out, dtype=object)
+
+    lines = cut(edges.select("path", "page", F.inline(keys("top", "bottom"))))
+    types = cut(lines.groupBy("path", "key").agg(F.count_if("near").alias("n")).withColumn("size", F.length("key")))
+    repeated = types.where("n >= 2 and size >= 4").select("path", F.col("key").alias("header"), F.col("size").alias("header_size"))
+    # misread ones: of similar length, and as many edits at most as the ratio of like letters allows
+    banded = repeated.withColumn("size", F.explode(F.sequence(F.col("header_size") - 3, F.col("header_size") + 3)))
+    close = types.join(banded, ["path", "size"]).where(F.levenshtein("key", "header") <= 0.2 * (F.col("size") + F.col("header_size")) + 1e-6)
+
+    @F.pandas_udf("boolean")
+    def similar(key: pd.Series, header: pd.Series) -> pd.Series:
+        return pd.Series([alike(k, h) for k, h in zip(key, header)], dtype=bool)
+
+    known = close.where(similar("key", "header")).select("path", "key").distinct()
+    heads = cut(lines.join(known, ["path", "key"]).groupBy("path", "page").agg(F.sort_array(F.collect_set("key")).alias("headers")))
 
-    n = edges.select("path", F.explode(keys("top", "bottom")).alias("key")).groupBy("path", "key").agg(F.count("*").alias("n")).where("n >= 2 and length(key) >= 4")
-    w = Window.partitionBy("path").orderBy(F.desc("n"), "key")
-    heads = n.withColumn("r", F.row_number().over(w)).where("r <= 3").groupBy("path").agg(F.sort_array(F.collect_list("key")).alias("headers"))
     def outer(lines: pd.Series, headers: pd.Series, order: int) -> pd.Series:
         out = []
         for t, h in zip(lines, headers):
@@ -240,10 +248,10 @@ def with_context(pages: DataFrame) -> DataFrame:
     def last(lines: pd.Series, headers: pd.Series) -> pd.Series:
         return outer(lines, headers, -1)
 
-    around = cut(edges.join(heads, "path", "left").select("path", "page", first("top", "headers").alias("first"), last("bottom", "headers").alias("last")))
+    around = cut(edges.join(heads, ["path", "page"], "left").select("path", "page", first("top", "headers").alias("first"), last("bottom", "headers").alias("last")))
     after = around.select("path", (F.col("page") - 1).alias("page"), F.col("first").alias("beyond"))
     before = around.select("path", (F.col("page") + 1).alias("page"), F.col("last").alias("behind"))
-    return p.join(heads, "path", "left").join(after, ["path", "page"], "left").join(before, ["path", "page"], "left")
+    return p.join(heads, ["path", "page"], "left").join(after, ["path", "page"], "left").join(before, ["path", "page"], "left")
 
 
 def _pages(b: pd.DataFrame, compounds: set[str]) -> Iterator[tuple[int, Page]]:

@@ -178,6 +178,16 @@ def test_packing(spark):
 # 5
 
 
+def test_a_book_has_any_number_of_headers(spark):
+    heads = ["Toshkent tarixi", "Buyuk karvonlar yoli", "Samarqand ustalari", "Dengiz ortidagi yurtlar", "Qadimgi hunarmandlar haqida bir necha sozlar va ularning bugungi shogirdlari", "Bahor"]
+    rng = random.Random(9)
+    text = lambda: " ".join("".join(rng.choice("abdeghiklmnoqrstuxyz") for _ in range(6)) for _ in range(9))
+    data = [(4 * c + i, "kitob", 4 * c + i, "\n".join([h.replace("a", "o", 1) if i == 3 else h, *(text() for _ in range(8))])) for c, h in enumerate(heads) for i in range(4)]
+    df = spark.createDataFrame(data, "ocr_id long, path string, page int, text string")
+    got = {(r.ocr_id, r.line_no) for r in ocr.Repaired(df).findings().where("kind = 'furniture'").collect()}
+    assert got == {(i, 0) for i in range(24)}
+
+
 def test_trie_finds_all_within_distance():
     rng = random.Random(3)
 
