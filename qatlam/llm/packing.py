@@ -68,7 +68,7 @@ def _pack(documents: DataFrame, kinds: list[tuple[str, int]], tokenizer: str, fo
         for b in batches:
             rows: list[tuple] = []
             for doc, text in zip(b["doc_id"], b["text"]):
-                size = count(text, kept) if isinstance(text, str) else 0
+                size = count(text, kept) if isinstance(text, str) and text.strip() else 0
                 if not size:
                     continue
                 for p in packers:
@@ -103,9 +103,9 @@ def _merge(windows: DataFrame, group: list[str]) -> DataFrame:
     return windows.groupBy(*group).applyInPandas(run, "container_kind string, container string, target string")
 
 
-def packed(documents: DataFrame, containers: DataFrame, tokenizer: str = "longest", folder: str = TOKENIZERS) -> DataFrame:
-    """(container_kind, capacity, container, doc_id, piece, tokens): every text with tokens in one container of each kind,
-    or, if longer than a container, in pieces of which all but the last fill one each. Null and empty texts are in none.
+def packed(documents: DataFrame, containers: DataFrame, tokenizer: str = "pieces", folder: str = TOKENIZERS) -> DataFrame:
+    """(container_kind, capacity, container, doc_id, piece, tokens): every text that is not blank in one container of each kind,
+    or, if longer than a container, in pieces of which all but the last fill one each. Null, empty and blank texts are in none.
     ``containers`` is a short fixed list; kinds without a positive capacity are left out, a kind given twice counts with
     its largest capacity. Tasks pack their own partition of the scan in its order, so a repeated task gives the same result."""
     kinds = [(r["container_kind"], r["c"]) for r in containers.where("container_kind is not null and capacity_tokens > 0").groupBy("container_kind").agg(F.max("capacity_tokens").alias("c")).orderBy("container_kind").collect()]

@@ -3,7 +3,8 @@
 For a vocabulary that is applied by longest match, the counter is a trie whose nodes carry failure links: where no child
 fits, the link leads to the node of the rest of the text that is already read, and the tokens that leave on the way are
 counted beforehand. Each character is read once, whatever the tokens' lengths. Words recur, so their counts are kept; a
-document is the sum of its words. Byte-pair vocabularies are counted with their own library.
+document is the sum of its words. Byte-pair vocabularies, also the public 32k pieces, are counted with their own library,
+which applies their merges; the queries use the pieces. Longest match over the same pieces gives other numbers.
 """
 
 from __future__ import annotations
@@ -105,6 +106,31 @@ def piece_vocabulary(folder: str = TOKENIZERS) -> list[str]:
     return [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
 
 
+#: No piece has a space behind another sign, so no merge goes on over the start of a run of spaces.
+_SPACED = re.compile("[ ▁]+[^ ▁]*")
+
+
+def _piece_counter(folder: str) -> Callable[[str, dict[str, int]], int]:
+    """Exact counts of the public 32k pieces, white space included; words with the spaces before them are kept."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/piece_bpe_32k.model")
+
+    def count(text: str, kept: dict[str, int]) -> int:
+        total = 0
+        # the library puts a space before the text; it also does so before each word given to it, so one is taken off
+        for w in _SPACED.findall(" " + text) if text else []:
+            n = kept.get(w)
+            if n is None:
+                if len(kept) >= KEEP:
+                    kept.clear()
+                n = kept[w] = len(sp.encode(w[1:])) if len(w) > 1 else 1
+            total += n
+        return total
+
+    return count
+
+
 def _byte_counter(folder: str) -> Callable[[str, dict[str, int]], int]:
     """Exact counts of the byte-level vocabulary for many languages; pieces of text are kept by the library's pattern."""
     import base64
@@ -137,12 +163,15 @@ def _byte_counter(folder: str) -> Callable[[str, dict[str, int]], int]:
     return count
 
 
-def counter(kind: str = "longest", folder: str = TOKENIZERS) -> Callable[[str, dict[str, int]], int]:
-    """``longest``: longest match over the public 32k pieces; ``bytes``: the byte-level vocabulary for many languages."""
-    return LongestMatch(piece_vocabulary(folder)).text if kind == "longest" else _byte_counter(folder)
+def counter(kind: str = "pieces", folder: str = TOKENIZERS) -> Callable[[str, dict[str, int]], int]:
+    """``pieces``: the public 32k pieces as their library counts; ``longest``: longest match over them, white space left out;
+    ``bytes``: the byte-level vocabulary for many languages."""
+    if kind == "longest":
+        return LongestMatch(piece_vocabulary(folder)).text
+    return {"pieces": _piece_counter, "bytes": _byte_counter}[kind](folder)
 
 
-def with_tokens(texts: DataFrame, key: str, kind: str = "longest", folder: str = TOKENIZERS, text: str = "text") -> DataFrame:
+def with_tokens(texts: DataFrame, key: str, kind: str = "pieces", folder: str = TOKENIZERS, text: str = "text") -> DataFrame:
     """(key, n_tokens) of each row: 0 for an empty text, null for a null one. The vocabulary is built once per task from the
     public file, which every executor has under ``folder``."""
 
@@ -156,7 +185,7 @@ def with_tokens(texts: DataFrame, key: str, kind: str = "longest", folder: str =
     return texts.select(key, text).mapInPandas(run, f"{key} {texts.schema[key].dataType.simpleString()}, n_tokens bigint")
 
 
-def slice_tokens(documents: DataFrame, kind: str = "longest", folder: str = TOKENIZERS) -> DataFrame:
+def slice_tokens(documents: DataFrame, kind: str = "pieces", folder: str = TOKENIZERS) -> DataFrame:
     """Documents and tokens by source, normalised language and category, with subtotals for every subset of the three
     (null in a column that is summed over, told apart by ``level``). Null texts count as documents without tokens; labels
     that are only spelled differently are one. Counts are summed before the shuffle, so a source of any size costs little."""

@@ -150,6 +150,20 @@ def test_byte_counts_equal_the_library(spark):
     assert got == {k: len(own.encode_ordinary(t)) if t is not None else None for k, t in text.items()}
 
 
+def test_piece_counts_equal_the_library(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=f"{tokens.TOKENIZERS}/piece_bpe_32k.model")
+    d = read(spark, "documents").select("doc_id", "text").orderBy("doc_id").limit(200)
+    odd = ["", " ", "a  ", "  a b", "a\n\n b\t c", "a▁▁ b", "é ﬁ Ⅷ", None]
+    d = d.union(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(odd)], "doc_id long, text string"))
+    text = {r.doc_id: r.text for r in d.collect()}
+    want = {k: None if t is None else len(sp.encode(t)) for k, t in text.items()}
+    assert {r.doc_id: r.n_tokens for r in tokens.with_tokens(d, "doc_id").collect()} == want
+    part = packing.packed(d, read(spark, "containers")).groupBy("container_kind", "doc_id").agg(F.sum("tokens").alias("n")).collect()
+    assert part and all(r.n == want[r.doc_id] for r in part)
+
+
 def test_slices_add_up(spark):
     d = read(spark, "documents")
     s = tokens.slice_tokens(d)
