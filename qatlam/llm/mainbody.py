@@ -1,8 +1,9 @@
 """Main content of web pages by page differencing (problem 3).
 
 Pages are range-partitioned and sorted by site and URL path, so that the nearest URLs of a host meet in one streaming
-pass without grouping a site in one task. Each text is aligned with those of its nearest neighbours by the longest common
-subsequence of its lines' letters; shared lines are page furniture. What the differences show of all pages is then counted:
+pass without grouping a site in one task. Each text is aligned with every distinct text of the page before and of the page
+after by the longest common subsequence of its lines' letters, also where the two pages lie in adjoining partitions; shared
+lines are page furniture. What the differences show of all pages is then counted:
 lines and line openings that neighbours share, and labels that head a list of links. A last pass over each text's line
 features (no text any more) marks the furniture that has no twin on a neighbour: lines between furniture and outside of
 the run of paragraphs, links under a label, bylines.
@@ -15,14 +16,15 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qatlam.llm.sitelines import page_of, site
-from qatlam.runtime import cut
+from qatlam.runtime import cut, fits
 
-#: Texts of one page that are kept in memory while they wait for the next page; more are compared with the page before.
-RUN = 64
+#: Lines shared over partition borders up to which they are broadcast.
+SHIP_LINES = 200_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 _SIGNS = str.maketrans("", "", "ʻʼ")
@@ -105,7 +107,7 @@ def shared(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
-_OUT = "page_id bigint, candidate_id string, site bigint, page bigint, line_no int, key bigint, opening bigint, mask int, words int, shared boolean"
+_OUT = "page_id bigint, candidate_id string, site bigint, page bigint, line_no int, key bigint, opening bigint, mask int, words int, shared boolean, border int"
 
 
 def _line(line: str, known: dict[str, tuple]) -> tuple[str, int, int, int, int]:
@@ -127,58 +129,103 @@ class _Text:
         self.keys = [x[1] for x in self.lines]
         self.hits: set[int] = set()
 
-    def meet(self, others: list[_Text]) -> None:
-        if others:
-            self.hits |= shared(self.keys, max(others, key=lambda t: len(t.keys)).keys)
-
-    def rows(self) -> Iterator[tuple]:
+    def rows(self, border: int) -> Iterator[tuple]:
         r, title = self.row, key_of(self.row.title) if isinstance(self.row.title, str) else ""
         for i, (name, key, opening, mask, words) in enumerate(self.lines):
             m = mask | TITLE if title and name == title else mask
-            yield (r.page_id, r.candidate_id, r.site, r.page, i, key, opening, m, words, i in self.hits)
+            yield (r.page_id, r.candidate_id, r.site, r.page, i, key, opening, m, words, i in self.hits, border)
+
+
+def _meet(left: list[tuple[list[int], set[int]]], right: list[tuple[list[int], set[int]]]) -> None:
+    """Adds to the hits of all (keys, hits) of two pages the lines that each shares with any of the other page. Equal lists
+    of keys are aligned once."""
+    lists = [sorted({tuple(k) for k, _ in x}, key=lambda k: (-len(k), k)) for x in (left, right)]
+    for here, mine, others in ((left, *lists), (right, *lists[::-1])):
+        of: dict[tuple, set[int]] = {}
+        for a in mine:
+            hits = of[a] = set()
+            for b in others:
+                common = set(b)
+                # nothing to add where all common lines are hits already
+                if any(k in common and k and i not in hits for i, k in enumerate(a)):
+                    hits |= shared(a, b)
+        for k, hits in here:
+            hits |= of[tuple(k)]
 
 
 def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by site and page. The texts of a page meet those of the page before and of the page after."""
+    """Rows come sorted by site and page. The texts of a page meet those of the page before and of the page after; a page is
+    held back until the next one is read. ``border`` is 0, but for the partition's first (1) and last page (2) four times the
+    partition's number and the sum of the two."""
     before: list[_Text] = []
     now: list[_Text] = []
     where: tuple | None = None
     known: dict[str, tuple] = {}
     out: list[tuple] = []
+    first, part = True, TaskContext.get().partitionId()
     names = [c.split()[0] for c in _OUT.split(", ")]
+
+    def leave(texts: list[_Text], last: bool) -> None:
+        nonlocal first
+        if texts:
+            side = first + 2 * last
+            for x in texts:
+                out.extend(x.rows(4 * part + side if side else 0))
+            first = False
+
+    def turn() -> None:
+        if before and before[0].row.site == now[0].row.site:
+            _meet([(x.keys, x.hits) for x in before], [(x.keys, x.hits) for x in now])
+
     for b in batches:
         for row in b.itertuples(index=False):
             here = (row.site, row.page)
-            if where is None or here != where:
-                t = _Text(row, known)
-                same = where is not None and here[0] == where[0]
-                for x in now:
-                    if same:
-                        x.meet([t])
-                    out.extend(x.rows())
-                before, now, where = (now if same else []), [], here
-            else:
-                t = _Text(row, known)
-                if len(now) >= RUN:
-                    out.extend(now[-1].rows())
-                    now.pop()
-            t.meet(before)
-            now.append(t)
+            if where is not None and here != where:
+                turn()
+                leave(before, False)
+                before, now = now, []
+            where = here
+            now.append(_Text(row, known))
         if len(out) > 20_000:
             yield pd.DataFrame(out, columns=names)
-            out = []
-    for x in now:
-        out.extend(x.rows())
+            out.clear()
+    if now:
+        turn()
+    leave(before, False)
+    leave(now, True)
     yield pd.DataFrame(out, columns=names)
 
 
+def _border(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of the lines of one site's pages at the ends of partitions those shared with the page over the border."""
+    pages = []
+    for (part, first, page), x in rows.assign(part=rows["border"] // 4, first=rows["border"] & 1).groupby(["part", "first", "page"], sort=False):
+        texts = [t.sort_values("line_no") for _, t in x.groupby(["page_id", "candidate_id"], sort=False, dropna=False)]
+        pages.append((part, -first, [(t, (t["key"].tolist(), set())) for t in texts]))
+    pages.sort(key=lambda x: x[:2])
+    for (p, _, left), (q, _, right) in zip(pages, pages[1:]):
+        if p != q:
+            _meet([t for _, t in left], [t for _, t in right])
+    names = ["page_id", "candidate_id", "line_no", "key"]
+    return pd.concat([t.iloc[sorted(hits)][names] for _, _, texts in pages for t, (_, hits) in texts])
+
+
+def with_borders(lines: DataFrame) -> DataFrame:
+    """The lines, shared also where the neighbouring page is in the adjoining partition."""
+    over = lines.where("border > 0").groupBy("site").applyInPandas(_border, "page_id bigint, candidate_id string, line_no int, key bigint")
+    over = cut(over.distinct().withColumn("over", F.lit(True)))
+    same = [lines[c].eqNullSafe(over[c]) for c in ("page_id", "candidate_id", "line_no", "key")]
+    joined = lines.join(F.broadcast(over) if fits(over, SHIP_LINES) else over, same, "left")
+    return joined.select(*[lines[c] for c in lines.columns if c not in ("shared", "border")], (lines["shared"] | F.coalesce("over", F.lit(False))).alias("shared"))
+
+
 def differenced(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     """One row per line of every candidate with the hash of its letters (0: none), of its opening, its features and whether
     a neighbouring page shares it. Candidates without a known page stand alone."""
     p = pages.select("page_id", F.xxhash64(site(F.col("url"))).alias("site"), page_of(F.col("url")).alias("path"), "title").dropDuplicates(["page_id"])
     c = candidates.where(F.col("text").isNotNull()).select("page_id", "candidate_id", "text").join(p, "page_id", "left")
     c = c.withColumn("site", F.coalesce("site", F.xxhash64("page_id"))).withColumn("path", F.coalesce("path", F.lit("")))
-    c = c.repartitionByRange("site", "path", "page_id").sortWithinPartitions("site", "path", "page_id", "candidate_id")
+    c = c.repartitionByRange("site", "path").sortWithinPartitions("site", "path", "page_id", "candidate_id")
     return c.select("page_id", "candidate_id", "site", F.xxhash64("path").alias("page"), "title", "text").mapInPandas(_difference, _OUT)
 
 
@@ -250,7 +297,7 @@ def page_furniture(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     """(page_id, candidate_id, line_no) of all furniture lines. Blank lines are none; a text without any paragraph is
     furniture but for the page's title; null texts and empty tables give nothing; equal candidates of a page are each
     treated in full."""
-    lines = cut(differenced(candidates, pages))
+    lines = with_borders(cut(differenced(candidates, pages)))
     counts = furniture_counts(lines)
     known = counts.where("(shared_pages >= 2 and (most_words <= 25 or shared_pages >= 4)) or pages >= 5").select(
         "key", F.lit(True).alias("known"), ((F.col("heads") >= 0.6) & (F.col("pages") >= 4)).alias("label"), (F.col("sites") >= 2).alias("wide"))

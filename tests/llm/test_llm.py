@@ -112,6 +112,25 @@ def test_page_furniture(spark):
     assert mainbody.page_furniture(c.where("page_id > 50"), pages_of(spark, 6)).count() == 0
 
 
+def test_every_text_of_neighbouring_pages_meets(spark):
+    # the longest and the first text of a page have no furniture; the shared line stands in the last one only
+    long = lambda i: "\n".join(f"Matn {chr(97 + i)}{chr(97 + k)} yozildi." for k in range(9))
+    data = [(i, "c0", long(i)) for i in range(6)]
+    data += [(i, f"d{k:03}", f"Boshqa {chr(97 + i)}{chr(97 + k // 26)}{chr(97 + k % 26)} gap.") for i in range(6) for k in range(70)]
+    data += [(i, "z", f"Qator {chr(97 + i)} bor.\nObuna boling {chr(97 + i // 2)}") for i in range(6)]
+    c = spark.createDataFrame(data, "page_id long, candidate_id string, text string")
+    for parts in ("1", "4"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            lines = mainbody.with_borders(mainbody.differenced(c, pages_of(spark, 6)).localCheckpoint())
+            assert rows(lines.where("shared"), "page_id", "candidate_id", "line_no") == [(i, "z", 1) for i in range(6)]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # 4 and 8
 
 
