@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qatlam.llm.quality import kind, statistics
+from qatlam.llm.quality import prose_model, scored, statistics
 from qatlam.runtime import cut
 
 LANGS = ["uz", "ru", "en", "tr", "kk"]
@@ -194,6 +194,18 @@ def segments(text: str, model: Model) -> list[tuple[str, str, float]]:
     return [(s, LANGS[i], float(x)) for s, i, x in zip(ss, p.argmax(axis=1), p.max(axis=1))]
 
 
+def joined(found: list[tuple[str, str, float]]) -> list[tuple[str, float, int, str]]:
+    """(language, least confidence, sentences, text) of runs of sentences of one language."""
+    out: list[tuple[str, float, int, str]] = []
+    for text, lang, sure in found:
+        if out and out[-1][0] == lang:
+            _, low, n, before = out[-1]
+            out[-1] = (lang, min(low, sure), n + 1, f"{before} {text}")
+        else:
+            out.append((lang, sure, 1, text))
+    return out
+
+
 _FOUND = "array<struct<lang:string,sentences:int,confidence:double>>"
 
 
@@ -222,18 +234,24 @@ def languages(texts: list[str | None], model: Model) -> list[list[tuple[str, int
     return [[(lang, len(v), max(v)) for lang, v in sorted(found.items())] for found in out]
 
 
-def block_languages(blocks: DataFrame, results: DataFrame) -> DataFrame:
-    """All blocks with ``found`` (their languages), the label they came with and ``is_case``: prose without a usable label,
-    with a label or ``is_uzbek`` that contradicts the text, or with several languages. Null texts have no language; extra
-    columns of ``blocks`` are dropped; a block scored twice counts with the row scored last."""
-    labels = cut(latest(results))
-    model = blocks.sparkSession.sparkContext.broadcast(fitted(blocks, labels))
+def _model_for(blocks: DataFrame, labels: DataFrame):
+    return blocks.sparkSession.sparkContext.broadcast(fitted(blocks, labels))
+
 
+def _found(model):
     @F.pandas_udf(_FOUND)
     def langs(texts: pd.Series) -> pd.Series:
         return pd.Series([[{"lang": a, "sentences": n, "confidence": c} for a, n, c in x] for x in languages(texts.tolist(), model.value)])
 
-    b = blocks.where("text is not null").select("block_id", "text", langs("text").alias("found")).join(labels, "block_id", "left")
+    return langs
+
+
+def block_languages(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """``blocks`` (with ``block_id`` and ``found``, the languages of the text) with the label they came with and ``is_case``:
+    without a usable label, with a label or ``is_uzbek`` that contradicts the text, or with several languages. ``labels`` is
+    the outcome of ``latest``, so a block scored twice counts with the row scored last. A text without words has no language
+    and is no case."""
+    b = blocks.join(labels, "block_id", "left")
     codes = F.transform("found", lambda x: x["lang"])
     uzbek = F.array_contains(codes, "uz")
     contradicts = ~F.array_contains(codes, F.col("label")) | (F.col("is_uzbek") & ~uzbek) | (~F.col("is_uzbek") & uzbek)
@@ -242,8 +260,26 @@ def block_languages(blocks: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def relabelled(blocks: DataFrame, results: DataFrame, common: DataFrame) -> DataFrame:
-    """(block_id, lang, sentences, confidence): one row per language of each case that is prose."""
-    cases = block_languages(blocks, results).where("is_case").select("block_id", "text", "found")
-    # written out once, else the optimizer copies each statistic into every rule that uses it
-    prose = cut(statistics(cases, common)).where(kind().isNull())
-    return prose.select("block_id", F.explode("found").alias("f")).select("block_id", "f.lang", "f.sentences", "f.confidence")
+    """(block_id, lang, sentences, confidence): one row per language of each case that is prose, that is, within the distance
+    of problem 1 from the prose of all blocks. Null texts have no language; extra columns are dropped. Texts are read once
+    and shuffled nowhere: their languages and statistics leave one pass."""
+    labels = cut(latest(results))
+    langs = _found(_model_for(blocks, labels))
+    texts = blocks.where("text is not null").select("block_id", langs("text").alias("found"), "text")
+    stats = cut(statistics(texts, common))
+    prose = scored(stats, prose_model(stats)).where("kind is null").select("block_id", "found")
+    cases = block_languages(prose, labels).where("is_case")
+    return cases.select("block_id", F.explode("found").alias("f")).select("block_id", "f.lang", "f.sentences", "f.confidence")
+
+
+def block_segments(blocks: DataFrame, results: DataFrame) -> DataFrame:
+    """(block_id, segment_no, lang, confidence, n_sentences, text): the segments of every block, which are its sentences with
+    neighbours of one language put together; ``confidence`` is the least of them. Null and empty texts have no segments."""
+    model = _model_for(blocks, cut(latest(results)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(i, k, *s) for i, t in zip(b["block_id"], b["text"]) for k, s in enumerate(joined(segments(t, model.value)))]
+            yield pd.DataFrame(rows, columns=["block_id", "segment_no", "lang", "confidence", "n_sentences", "text"])
+
+    return blocks.where("text is not null").select("block_id", "text").mapInPandas(run, "block_id bigint, segment_no int, lang string, confidence double, n_sentences int, text string")

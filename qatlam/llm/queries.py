@@ -31,6 +31,13 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaked(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query("p1_statistics")
+def p1_statistics(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.quality import records, text_quality
+
+    return text_quality(records(table(spark, d, "results"), table(spark, d, "blocks")), table(spark, d, "common_words"))
+
+
 @query("p1_found")
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.quality import records, text_quality
@@ -87,6 +94,13 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return repeats(table(spark, d, "results").selectExpr("result_id AS id", "kept_text AS text"))
 
 
+@query("p6_segments")
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.language import block_segments
+
+    return block_segments(table(spark, d, "blocks"), table(spark, d, "language_results"))
+
+
 @query("p6_found")
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.language import relabelled

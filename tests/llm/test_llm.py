@@ -1,5 +1,6 @@
 """The training-data operators against brute force, round trips and held-out accuracy, and on the cases that break things."""
 
+import itertools
 import json
 import random
 import sys
@@ -47,6 +48,32 @@ def test_contributions_sum_to_distance(spark):
     assert all(abs(sum(r.contributions) / len(quality.STATS) - r.distance) < 1e-6 * max(1, r.distance) for r in out)
 
 
+def test_counts_by_plain_python():
+    rng = random.Random(4)
+    alphabet = "aAoOʻ'бВ19  \t\n\n;|·.,!:-•§(ZzXx)\U0001f600"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 80))) + "x" for _ in range(300)] + ["1) olma\n2. anor\n• nok\n(3) uzum", "qwrtp bcdfghjklmn", "so'z  so'z   SO'Z"]
+    got = quality.count(texts, {"uz": quality.word_hashes(["so'z", "aa"])})
+    marks = {"n_commas": ",", "n_vowels": quality._SIGNS[quality.VOWEL]}
+    for i, t in enumerate(texts):
+        words = ["".join(g) for k, g in itertools.groupby(t, key=lambda c: c.isalpha() or c in "'’‘ʻʼ`") if k]
+        lines = [x for x in t.split("\n") if x.strip()]
+        want = {"n_chars": sum(not c.isspace() for c in t), "n_letters": sum(map(str.isalpha, t)), "n_digits": sum(c in "19" + "02345678" for c in t), "n_words": len(words),
+                "n_distinct": len({w.lower() for w in words}), "n_lines": len(lines), "n_ends": sum(x.strip()[-1] in ".!?…:;»”\"" for x in lines),
+                "common_uz": len({w.lower() for w in words} & {"so'z", "aa"})} | {k: sum(c in v for c in t) for k, v in marks.items()}
+        assert {k: int(got[k][i]) for k in want} == want, t
+    assert got["n_items"].tolist()[300:] == [4, 1, 0] and got["n_stops"][300] == 0 and got["n_clusters"].tolist()[301] == 3
+
+
+def test_distance_alone_decides(spark):
+    # the distance is a sum over any extra columns' rows alike, in one partition or many, and long texts are counted in parts
+    df = read(spark, "blocks").select("block_id", "text")
+    common = read(spark, "common_words")
+    one = {r.block_id: (r.kind, r.distance) for r in quality.text_quality(df.coalesce(1), common).collect()}
+    many = {r.block_id: (r.kind, r.distance) for r in quality.text_quality(df.repartition(9), common).collect()}
+    assert all(one[k][0] == many[k][0] for k in one)
+    assert all((x[0] is None) == (x[1] is None or x[1] <= quality.OUTLIER) for x in one.values())
+
+
 def test_quality_of_nothing(spark):
     e = spark.createDataFrame([], "id long, text string")
     assert quality.text_quality(e, spark.createDataFrame(COMMON, "lang string, word string")).count() == 0
@@ -124,7 +151,7 @@ def test_every_text_of_neighbouring_pages_meets(spark):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         try:
-            lines = mainbody.with_borders(mainbody.differenced(c, pages_of(spark, 6)).localCheckpoint())
+            lines = mainbody.with_borders(mainbody.differenced(c, pages_of(spark, 6)).checkpoint())
             assert rows(lines.where("shared"), "page_id", "candidate_id", "line_no") == [(i, "z", 1) for i in range(6)]
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", old)
@@ -284,6 +311,8 @@ def test_labels(spark):
 
 
 def test_relabelled(spark):
+    seg = language.block_segments(read(spark, "blocks"), read(spark, "language_results")).where("block_id < 400").collect()
+    assert all(0 < r.confidence <= 1 and r.n_sentences > 0 for r in seg) and len({r.lang for r in seg}) > 1
     out = language.relabelled(read(spark, "blocks"), read(spark, "language_results"), read(spark, "common_words"))
     got = rows(out, "block_id", "lang")
     assert len(got) == len(set(got)) > 200 and {x for _, x in got} == set(language.LANGS)
