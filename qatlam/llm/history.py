@@ -1,12 +1,16 @@
 """Duplicates of new texts among everything accepted before (problem 7).
 
-A text is a multiset of words; the metric is the size of the symmetric difference of two multisets. The words are dealt
-into ``CELLS`` cells by hash, and each cell has a fixed pivot, the empty text. The table keeps of every text the parities
-of its distances to the pivots: the cells in which two texts differ are a lower bound of the true distance (triangle
-inequality). Which pairs are compared is decided by a prefix filter: all words have one order, rare ones first, and two
-texts within the tolerance share one of the first words of both, as many as may be missing and one more. So no pair
-within the tolerance is left out. Pairs that pass the bound are verified on their texts. History is read only as this
-narrow table and as the texts of the pairs that remain.
+A text is the multiset of its words; the metric is the size of the symmetric difference of two multisets. The table keeps of
+every accepted text its distances to fixed pivots: to the empty text, which is the number of words, and, with the words dealt
+into ``CELLS`` cells by hash, the parity of its distance to the empty text within each cell. By the triangle inequality the
+difference of two texts' distances to a pivot is a lower bound of their own, and so is the number of cells whose parities
+differ.
+
+Which texts are compared at all is decided by a prefix filter over runs of consecutive words (grams): all grams have one
+order, rare ones first, and of two texts that differ by no more words than the tolerance, each has one of its first grams in
+common with the first ones of the other, as many as may be missing and one more. Rows of one gram lie together, sorted by
+the distance to the empty text, and each meets those within the range that the tolerance leaves it. So no copy is missed that
+keeps the order of its words. What passes the bounds is verified by the true distance.
 """
 
 from __future__ import annotations
@@ -16,188 +20,317 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qatlam.llm import codes
 from qatlam.llm.fold import plain_words
 from qatlam.runtime import cut, fits
 
 CELLS = 1024
-#: Share of a text's words that may be missing from, or added in, its copy.
-TOLERANCE = 0.2
+#: Share of a text's words that its copy may have changed.
+TOLERANCE = 0.15
 #: Words that a copy may have more or less at its ends, besides.
 ENDS = 6
-#: Words whose frequency orders the prefixes; all others count as rarer. Any fixed order gives the same result.
+#: Words in a gram. Texts of SHORT words at most have grams of two words, and those of LONG words at least, which a copy of any
+#: longer text has, grams of four: one changed word may break all of a short text's longer grams.
+WIDTHS, SHORT, LONG = (2, 4), 48, 25
+#: Words whose frequency orders the grams; all others count as rarer. Any fixed order gives the same result.
 FREQUENT = 200_000
-#: Texts for which there is one group of prefix words at least.
-GROUP_TEXTS = 200_000
-#: Texts of a group that one task compares; larger groups are split into blocks, each of which meets each other.
-BLOCK = 100_000
+#: Rows under one gram whose pairs leave the task unpruned; more are compared with their cells at hand.
+RUN = 8
+#: Rows under one gram that one task compares; more are split into blocks of so many, each of which meets each other.
+BLOCK = 20_000
 #: Pairs that are compared at once.
-PAIRS = 1_000_000
-#: Ids of texts to verify up to which they are broadcast.
+PAIRS = 500_000
+#: Ids of texts to verify up to which they are broadcast (8 bytes each).
 SHIP_IDS = 1_000_000
 SALT = 8
+#: Characters of texts that are worked on together.
+CHUNK = 400_000
+#: A folder of the history's texts holds 2 to this power ids.
+FOLDER_BITS = 16
 
 _SIG = "id bigint, h1 bigint, h2 bigint, n int, prefix array<bigint>, parities binary"
-_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _M1
-    return x ^ (x >> np.uint64(29))
+def missing(n):
+    """How many of its ``n`` words a text may lack in its copy."""
+    return np.floor(TOLERANCE * n + 1e-9) + ENDS * (n > 4 * ENDS)
 
 
-def missing(n):
-    """How many of its ``n`` words a text may lack in its copy, unrounded."""
-    return TOLERANCE * n + ENDS * (n > 4 * ENDS)
-
-
-def _tokens(words: list[str], cache: dict[str, int]) -> np.ndarray:
-    """A hash of each word and how often it stood before, so equal words are told apart and a multiset is a set."""
-    if len(cache) > 2_000_000:
-        cache.clear()
-    h = np.empty(len(words), dtype=np.uint64)
-    for i, w in enumerate(words):
-        v = cache.get(w)
-        if v is None:
-            v = cache[w] = xxhash.xxh64_intdigest(w)
-        h[i] = v
-    h.sort()
-    at = np.arange(len(h))
-    begin = np.concatenate(([True], h[1:] != h[:-1]))
-    turn = at - np.maximum.accumulate(np.where(begin, at, 0))
-    with np.errstate(over="ignore"):
-        return _mix(h + turn.astype(np.uint64) * _M2)
+def lost(n, width: int):
+    """How many of its grams a text of ``n`` words may lack then: a changed word breaks ``width`` of them, one at an end one."""
+    return width * np.floor(TOLERANCE * n + 1e-9) + ENDS * (n > 4 * ENDS)
+
+
+def same_text(a: str, b: str) -> bool:
+    """Whether the multisets of words differ by no more than the tolerance on either side."""
+    x, y = Counter(plain_words(a)), Counter(plain_words(b))
+    return (x - y).total() <= missing(x.total()) and (y - x).total() <= missing(y.total())
+
+
+def _chunks(texts: pd.Series) -> Iterator[slice]:
+    total = texts.str.len().cumsum().to_numpy() // CHUNK
+    ends = [*(np.flatnonzero(total[1:] != total[:-1]) + 1), len(texts)] if len(texts) else []
+    for a, b in zip([0, *ends], ends):
+        yield slice(a, b)
 
 
 def word_order(texts: DataFrame) -> DataFrame:
-    """(token, n) of the FREQUENT most frequent words, counted by texts."""
+    """(word, n) of the FREQUENT most frequent words (as hashes), counted by occurrence over all texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, int] = {}
         for b in batches:
-            t = [_tokens(w, cache) for w in map(plain_words, b["text"]) if w]
-            if t:
-                token, n = np.unique(np.concatenate(t), return_counts=True)
-                yield pd.DataFrame({"token": token.view(np.int64), "n": n})
+            for part in _chunks(b["text"]):
+                word, n = np.unique(codes.words(b["text"][part].tolist())[0], return_counts=True)
+                yield pd.DataFrame({"word": word.view(np.int64), "n": n})
 
-    counted = texts.where(F.col("text").isNotNull()).select("text").mapInPandas(run, "token bigint, n bigint")
-    return counted.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT)
+    counted = texts.where(F.col("text").isNotNull()).select("text").mapInPandas(run, "word bigint, n bigint")
+    return counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT)
 
 
-def signature(words: list[str], cache: dict[str, int], frequent: np.ndarray, counts: np.ndarray) -> tuple[int, int, int, list[int], bytes]:
-    n = len(words)
-    d = xxhash.xxh128_intdigest(" ".join(words))
-    t = _tokens(words, cache)
-    at = np.minimum(np.searchsorted(frequent, t), len(frequent) - 1)
-    often = np.where(frequent[at] == t, counts[at], 0)
-    prefix = t[np.lexsort((t, often))[: int(missing(n)) + 1]]
-    parities = np.packbits(np.bincount((t >> np.uint64(40)) % np.uint64(CELLS), minlength=CELLS).astype(np.uint8) & 1)
-    half = lambda x: (x & (2**64 - 1)) - 2**63
-    return half(d), half(d >> 64), n, prefix.view(np.int64).tolist(), parities.tobytes()
+def _told_apart(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes sorted by owner with the number of earlier equal ones mixed in, so a multiset is a set; and the sorting order."""
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    at = np.arange(len(h))
+    begin = np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1]))[: len(h)]
+    turn = at - np.maximum.accumulate(np.where(begin, at, 0))
+    with np.errstate(over="ignore"):
+        return codes.mixed(h + turn.astype(np.uint64) * codes.ODD), order
+
+
+def _first_grams(h: np.ndarray, often: np.ndarray, rank: np.ndarray, first: np.ndarray, size: np.ndarray, width: int, out: list[list[int]]) -> None:
+    """Adds to ``out`` the hashes of the first grams of each text (of number ``rank``) that has grams of ``width`` words."""
+    mine = (size <= SHORT) if width == WIDTHS[0] else (size >= LONG)
+    left = np.repeat(first + size, size) - np.arange(len(h))
+    # a text of fewer words than a gram has one of all its words
+    start = np.flatnonzero(np.repeat(mine, size) & ((left >= width) | ((left == np.repeat(size, size)) & (left < width))))
+    if not len(start):
+        return
+    g, rare = np.full(len(start), width, dtype=np.uint64), np.ones(len(start))
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            there, here = left[start] > k, np.minimum(start + k, len(h) - 1)
+            g = np.where(there, codes.mixed(g * np.uint64(3) + h[here]), g)
+            rare *= np.where(there, often[here], 1)
+    owner = rank[start]
+    g, order = _told_apart(g, owner)
+    owner, rare = owner[order], rare[order]
+    order = np.lexsort((g, rare, owner))
+    g, owner = g[order].view(np.int64), owner[order]
+    edge = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    keep = (lost(size[owner[edge]], width) + 1).astype(np.int64)
+    for r, a, e, k in zip(owner[edge], edge, np.append(edge[1:], len(g)), keep):
+        out[r].extend(g[a : min(e, a + k)].tolist())
+
+
+def signatures(texts: list[str], frequent: np.ndarray, counts: np.ndarray) -> dict[str, list]:
+    """For each text with words its row of the pivot table: which text it is, hashes of its words in order, the number of its
+    words, the prefixes and the parities."""
+    h, text = codes.words(texts)
+    out: dict[str, list] = {c.split()[0]: [] for c in _SIG.split(", ")}
+    if not len(h):
+        return out
+    first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+    size = np.diff(np.append(first, len(h)))
+    rank = np.repeat(np.arange(len(first)), size)
+    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+    often = np.where(frequent[at] == h, counts[at], 1).astype(float)
+    with np.errstate(over="ignore"):
+        place = (np.arange(len(h)) - first[rank]).astype(np.uint64)
+        h1 = np.add.reduceat(codes.mixed(h + place * codes.ODD), first)
+        h2 = np.add.reduceat(codes.mixed((h ^ np.uint64(0xA5A5A5A5)) + place * np.uint64(0xD6E8FEB86659FD93)), first)
+    token, order = _told_apart(h, rank)
+    cell = ((token >> np.uint64(40)) % np.uint64(CELLS)).astype(np.int64)
+    owner = rank[order]
+    for lo in range(0, len(first), 256):
+        a, e = np.searchsorted(owner, [lo, lo + 256])
+        many = np.bincount((owner[a:e] - lo) * CELLS + cell[a:e], minlength=min(256, len(first) - lo) * CELLS)
+        out["parities"].extend(x.tobytes() for x in np.packbits(many.reshape(-1, CELLS).astype(np.uint8) & 1, axis=1))
+    out["prefix"] = [[] for _ in first]
+    for width in WIDTHS:
+        _first_grams(h, often, rank, first, size, width, out["prefix"])
+    out["id"] = text[first].tolist()
+    out["h1"], out["h2"], out["n"] = h1.view(np.int64).tolist(), h2.view(np.int64).tolist(), size.tolist()
+    return out
 
 
 def pivot_table(texts: DataFrame, order: DataFrame) -> DataFrame:
-    """Of (id, text) the table of pivot distances and prefixes; texts without words are left out."""
-    o = order.toPandas().sort_values("token", key=lambda c: c.to_numpy().view(np.uint64))
+    """Of (id, text) the table of pivot distances and prefixes; texts without words are left out. ``order`` has FREQUENT rows
+    of 16 bytes at most, which go to all executors."""
+    o = order.toPandas().sort_values("word", key=lambda c: c.to_numpy().view(np.uint64))
     sent = texts.sparkSession.sparkContext.broadcast((
-        np.append(o["token"].to_numpy().view(np.uint64), np.uint64(2**64 - 1)), np.append(o["n"].to_numpy(), 0)))
+        np.append(o["word"].to_numpy().view(np.uint64), np.uint64(2**64 - 1)), np.append(o["n"].to_numpy(), 1)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, int] = {}
         for b in batches:
-            rows = []
-            for i, t in zip(b["id"], b["text"]):
-                w = plain_words(t)
-                if w:
-                    rows.append((i, *signature(w, cache, *sent.value)))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SIG.split(", ")])
+            for part in _chunks(b["text"]):
+                rows = pd.DataFrame(signatures(b["text"][part].tolist(), *sent.value))
+                yield rows.assign(id=b["id"][part].to_numpy()[rows["id"].to_numpy(dtype=np.int64)])
 
     return texts.where(F.col("text").isNotNull()).select("id", "text").mapInPandas(run, _SIG)
 
 
-def _group_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of the texts of one group, or of two blocks of it, all pairs that share a prefix word, of which one is new, and that lengths, the word's
-    places and the pivot distances leave room for."""
-    ident, n, new = rows["id"].to_numpy(), rows["n"].to_numpy().astype(np.int64), rows["new"].to_numpy(dtype=bool)
-    block = rows["block"].to_numpy()
-    within = rows["other"].iloc[0] == rows["one"].iloc[0]
-    wide = np.frombuffer(b"".join(rows["parities"]), dtype=np.uint64).reshape(len(rows), -1)
-    # parities of fewer, larger cells are a bound too, and faster
-    narrow = np.bitwise_xor.reduce(wide.reshape(len(rows), 4, -1), axis=1)
-    need = n - np.floor(missing(n)).astype(np.int64)
-    each = rows["places"].map(len).to_numpy()
-    text, place, key = np.repeat(np.arange(len(rows)), each), np.concatenate(rows["places"].to_numpy()).astype(np.int64), np.concatenate(rows["keys"].to_numpy())
-    order = np.lexsort((n[text], key))
-    text, place, key = text[order], place[order], key[order]
-    # rows of a key come by length: a text meets those after it that are not too long for it
-    size = n[text]
-    last = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
-    end = last[np.searchsorted(last, np.arange(len(key)), side="right")]
-    rank = np.cumsum(np.concatenate(([0], key[1:] != key[:-1]))) * (int(n.max()) + 2)
-    lengths = np.arange(int(n.max()) + 2)
-    shortest = np.minimum.accumulate((lengths - np.floor(missing(lengths)).astype(np.int64))[::-1])[::-1]
-    longest = np.searchsorted(shortest, lengths, side="right") - 1
-    stop = np.minimum(end, np.searchsorted(rank + size, rank + np.minimum(longest[size], int(n.max())), side="right"))
+def _near(x: np.ndarray, y: np.ndarray, least: np.ndarray, n: np.ndarray, parities: np.ndarray) -> np.ndarray:
+    """Whether the pivots within the cells leave room for ``least`` common pairs."""
+    return np.bitwise_count(parities[x] ^ parities[y]).sum(axis=1, dtype=np.int64) <= n[x] + n[y] - 2 * least
+
+
+def _meet(key: np.ndarray, ident: np.ndarray, n: np.ndarray, new: np.ndarray, block: np.ndarray | None = None, parities: np.ndarray | None = None) -> np.ndarray:
+    """Pairs of ids (2 x m, the lesser first, distinct) under equal keys, of which one is new and whose distances to the empty
+    text leave room for a small one. With ``block`` only pairs of different blocks, with ``parities`` only those that the cells
+    leave room for. Rows come sorted by key and n."""
+    n = n.astype(np.int64)
+    need = n - missing(n).astype(np.int64)
+    top = int(n.max()) + 1 if len(n) else 0
+    # the longest text that a text of a length can be a copy of
+    lengths = np.arange(top + 1)
+    shortest = np.minimum.accumulate((lengths - missing(lengths).astype(np.int64))[::-1])[::-1]
+    longest = np.minimum(np.searchsorted(shortest, lengths, side="right") - 1, top)
+    rank = np.cumsum(np.append(0, key[1:] != key[:-1])) * (top + 1)
+    stop = np.searchsorted(rank + n, rank + longest[n], side="right")
     count = np.maximum(stop - np.arange(len(key)) - 1, 0)
-    before = np.concatenate(([0], np.cumsum(count)))
-    found = []
+    before = np.append(0, np.cumsum(count))
+    found = [np.zeros((2, 0), dtype=np.int64)]
     lo = 0
     while lo < len(key):
         hi = max(lo + 1, int(np.searchsorted(before, before[lo] + PAIRS, side="right")) - 1)
         c = count[lo:hi]
-        left = np.repeat(np.arange(lo, hi), c)
-        right = left + 1 + np.arange(len(left)) - np.repeat(before[lo:hi] - before[lo], c)
+        x = np.repeat(np.arange(lo, hi), c)
+        y = x + 1 + np.arange(len(x)) - np.repeat(before[lo:hi] - before[lo], c)
         lo = hi
-        x, y, i, j = text[left], text[right], place[left], place[right]
         least = np.maximum(need[x], need[y])
-        ok = np.minimum(i, j) + 1 + np.minimum(n[x] - i, n[y] - j) - 1 >= least
-        ok &= (new[x] | new[y]) & ((block[x] != block[y]) | within)
+        ok = (new[x] | new[y]) & (ident[x] != ident[y])
+        if block is not None:
+            ok &= block[x] != block[y]
         x, y, least = x[ok], y[ok], least[ok]
-        for p in (narrow, wide):
-            near = np.bitwise_count(p[x] ^ p[y]).sum(axis=1, dtype=np.int64) <= n[x] + n[y] - 2 * least
-            x, y, least = x[near], y[near], least[near]
+        if parities is not None:
+            close = _near(x, y, least, n, parities)
+            x, y = x[close], y[close]
         found.append(np.unique(np.stack([np.minimum(ident[x], ident[y]), np.maximum(ident[x], ident[y])]), axis=1))
-    a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+    return np.unique(np.concatenate(found, axis=1), axis=1)
+
+
+_MET = "a bigint, b bigint, key bigint, id bigint, n int, new boolean"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key and n: pairs (a, b) of each key, or, where a key has more than RUN rows, the rows themselves."""
+    held: list[pa.RecordBatch] = []
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("new", pa.bool_())])
+
+    def rows(t: pa.Table) -> pa.RecordBatch:
+        none = pa.nulls(t.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, *[t.column(c).combine_chunks() for c in schema.names[2:]]], schema=schema)
+
+    def pairs(t: pa.Table) -> pa.RecordBatch:
+        a, b = _meet(*[t.column(c).to_numpy() for c in ("key", "id", "n", "new")])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *[pa.nulls(len(a), t) for t in schema.types[2:]]], schema=schema)
+
+    def settled(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = t.column("key").to_numpy()
+        edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(edge, len(key)))
+        single = np.repeat(size == 1, size)
+        big = np.repeat(size > RUN, size)
+        if big.any():
+            yield rows(t.filter(pa.array(big)))
+        t = t.filter(pa.array(~single & ~big))
+        if t.num_rows:
+            yield pairs(t)
+
+    crowded = None
+    for b in batches:
+        key = b.column("key").to_numpy()
+        if not len(key):
+            continue
+        last = key[-1]
+        start = int(np.searchsorted(key != last, False)) if (key == last).all() else int(len(key) - np.argmax(key[::-1] != last))
+        whole, rest = b.slice(0, start), b.slice(start)
+        if crowded is not None:
+            # the rest of a key that was found to be crowded
+            more = int(np.argmax(key != crowded)) if (key != crowded).any() else len(key)
+            if more:
+                yield rows(pa.Table.from_batches([b.slice(0, more)]))
+            if more == len(key):
+                continue
+            crowded = None
+            whole, rest = b.slice(more, max(0, start - more)), b.slice(max(start, more))
+        if whole.num_rows:
+            yield from settled(pa.Table.from_batches([*held, whole]))
+            held = []
+        elif held and held[0].column("key")[0].as_py() != last:
+            yield from settled(pa.Table.from_batches(held))
+            held = []
+        held.append(rest)
+        if sum(h.num_rows for h in held) > BLOCK:
+            yield rows(pa.Table.from_batches(held))
+            held, crowded = [], last
+    if held:
+        yield from settled(pa.Table.from_batches(held))
+
+
+def _blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of two blocks of a crowded key, or of one with itself."""
+    rows = rows.sort_values("n", kind="stable")
+    within = rows["one"].iloc[0] == rows["other"].iloc[0]
+    parities = np.frombuffer(b"".join(rows["parities"]), dtype=np.uint64).reshape(len(rows), -1)
+    columns = [rows[c].to_numpy() for c in ("key", "id", "n")]
+    a, b = _meet(*columns, rows["new"].to_numpy(dtype=bool), None if within else rows["block"].to_numpy(), parities)
     return pd.DataFrame({"a": a, "b": b})
 
 
-def _salted(left: DataFrame, right: DataFrame, on: list[str], by: str) -> DataFrame:
-    """Inner join in which the rows of one key on the left are spread over SALT tasks."""
-    r = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALT)])))
-    return left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALT)).cast("int")).join(r, [*on, "_salt"]).drop("_salt")
+def candidate_pairs(table: DataFrame) -> DataFrame:
+    """(a, b) with a < b of all texts, one of them new, whose prefixes and pivot distances leave room for a small distance. A
+    gram of many texts is compared with the cells at hand, so that only near pairs leave its task, and one of more than BLOCK
+    texts is split into blocks, of which every two meet in a task of their own."""
+    rows = table.select(F.explode("prefix").alias("key"), "id", "n", "new")
+    if not table.where("not new").isEmpty():
+        # of the history only what shares a gram with the batch is shuffled
+        rows = rows.where("new").unionByName(rows.where("not new").join(rows.where("new").select("key").distinct(), "key", "left_semi"))
+    met = cut(rows.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_runs, _MET))
+    pairs = met.where("a is not null").select("a", "b")
+    crowd = met.where("a is null").select("key", "id", "n", "new")
+    if not crowd.isEmpty():
+        sizes = crowd.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        c = crowd.join(F.broadcast(sizes), "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+        c = c.join(table.select("id", "parities"), "id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        c = c.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop("with", "blocks")
+        pairs = pairs.unionByName(c.groupBy("key", "one", "other").applyInPandas(_blocks, "a bigint, b bigint"))
+    pivots = table.select("id", "n", "parities")
+    p = pairs.distinct().join(pivots.toDF("a", "na", "pa"), "a").join(pivots.toDF("b", "nb", "pb"), "b")
 
+    @F.pandas_udf("boolean")
+    def near(na: pd.Series, pa_: pd.Series, nb: pd.Series, pb: pd.Series) -> pd.Series:
+        n = np.concatenate([na.to_numpy(), nb.to_numpy()]).astype(np.int64)
+        need = n - missing(n).astype(np.int64)
+        wide = np.frombuffer(b"".join([*pa_, *pb]), dtype=np.uint64).reshape(len(n), -1)
+        x, y = np.arange(len(na)), np.arange(len(na)) + len(na)
+        return pd.Series(_near(x, y, np.maximum(need[x], need[y]), n, wide))
 
-def candidate_pairs(table: DataFrame) -> DataFrame:
-    """(a, b) with a < b of all texts, one of them new, whose prefixes and pivot distances leave room for a small distance.
-    Prefix words are dealt into groups; a text goes to each group that has words of it, once. The groups' sizes decide in
-    how many blocks each is split, so a word that a third of all texts share fills no task; every two blocks meet."""
-    parts = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), table.count() // GROUP_TEXTS)
-    words = F.transform("prefix", lambda k, i: F.struct(F.pmod(k, F.lit(parts)).cast("int").alias("g"), i.cast("int").alias("place"), k.alias("key")))
-    groups = table.select("id", "n", "new", "parities", words.alias("words")).withColumn("g", F.explode(F.array_distinct("words.g")))
-    mine = F.filter("words", lambda w: w["g"] == F.col("g"))
-    rows = groups.select("g", "id", "n", "new", "parities", mine["place"].alias("places"), mine["key"].alias("keys"))
-    sizes = rows.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(F.broadcast(sizes), "g").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop("with", "blocks")
-    return rows.groupBy("g", "one", "other").applyInPandas(_group_pairs, "a bigint, b bigint").distinct()
+    return p.where(near("na", "pa", "nb", "pb")).select("a", "b")
 
 
-def same_text(a: str, b: str) -> bool:
-    """Whether the multisets of words differ by no more than the tolerance on either side."""
-    x, y = Counter(plain_words(a)), Counter(plain_words(b))
-    n, m = x.total(), y.total()
-    return (x - y).total() <= missing(n) and (y - x).total() <= missing(m)
+def _salted(left: DataFrame, right: DataFrame, on: list[str], by: str) -> DataFrame:
+    """Inner join in which the rows of one key on the left are spread over SALT tasks."""
+    r = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALT)])))
+    return left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALT)).cast("int")).join(r, [*on, "_salt"]).drop("_salt")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are the same by the true distance."""
-    ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    needed = cut(texts.select("id", "text").join(F.broadcast(ids) if fits(ids, SHIP_IDS) else ids, "id", "left_semi"))
+def verified(pairs: DataFrame, texts: list[DataFrame]) -> DataFrame:
+    """The pairs whose texts are the same by the true distance. ``texts`` are (id, text) or (id, text, folder) tables; of one
+    with folders only those are read that hold a text in question."""
+    ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().withColumn("folder", F.shiftright("id", FOLDER_BITS)))
+    small = F.broadcast(ids) if fits(ids, SHIP_IDS) else ids
+    parts = [t.join(small, ["id", "folder"] if "folder" in t.columns else "id", "left_semi").select("id", "text") for t in texts]
+    needed = parts[0]
+    for p in parts[1:]:
+        needed = needed.unionByName(p)
+    needed = cut(needed)
 
     @F.pandas_udf("boolean")
     def same(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -207,13 +340,19 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return left.join(needed.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").where(same("ta", "tb")).select("a", "b")
 
 
-def accepted_of(links: DataFrame) -> DataFrame:
+def accepted_of(links: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
     """(id, root) of each text that repeats an accepted one, from (a, b) links with a < b. In order of ids a text is
-    accepted unless it links to an accepted text before it. A round settles every text that links to an accepted one, or
-    whose links all lead to settled ones; the least open text always is among them. Near-copies form shallow stars, so
-    there are few rounds."""
+    accepted unless it links to an accepted text before it; ``accepted`` (id) are so from the start. A round settles every
+    text that links to an accepted one, or whose links all lead to settled ones; the least open text always is among them.
+    Near-copies form shallow stars, so there are few rounds."""
     links = cut(links)
-    states = cut(links.select(F.col("a").alias("id")).distinct().join(links.select(F.col("b").alias("id")), "id", "left_anti").withColumn("accepted", F.lit(True)))
+    if links.isEmpty():
+        return links.select(F.col("b").alias("id"), F.col("a").alias("root"))
+    states = links.select(F.col("a").alias("id")).distinct().join(links.select(F.col("b").alias("id")), "id", "left_anti").withColumn("accepted", F.lit(True))
+    if accepted is not None:
+        sure = links.select(F.col("a").alias("id")).union(links.select("b")).distinct().join(accepted, "id", "left_semi")
+        states = states.union(sure.withColumn("accepted", F.lit(True))).distinct()
+    states = cut(states)
     while True:
         open_ = links.join(states.select(F.col("id").alias("b")), "b", "left_anti").join(states.select(F.col("id").alias("a"), "accepted"), "a", "left")
         texts = open_.groupBy(F.col("b").alias("id")).agg(F.coalesce(F.max("accepted"), F.lit(False)).alias("copy"), F.count_if(F.col("accepted").isNull()).alias("open"))
@@ -226,23 +365,26 @@ def accepted_of(links: DataFrame) -> DataFrame:
     return links.join(copies, "b", "left_semi").join(good, "a", "left_semi").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
 
 
-def repeats(texts: DataFrame, table: DataFrame | None = None) -> DataFrame:
-    """(result_id_a, result_id_b): b repeats the accepted text a, a < b. ``texts`` holds (id, text), ids unique and in order
-    of arrival. Null texts and texts without words repeat nothing. Exact copies are first reduced to their first text, so a
-    group of copies of any size costs one row in the join."""
-    table = cut(pivot_table(texts, word_order(texts)).withColumn("new", F.lit(True)) if table is None else table)
+def _matched(table: DataFrame, texts: list[DataFrame]) -> DataFrame:
+    """(result_id_a, result_id_b): b is new and repeats the accepted text a. ``table`` is the pivot table with ``new``; what is
+    not new is accepted. Exact copies are first reduced to their first text, so a group of copies of any size costs one row."""
     first = table.groupBy("h1", "h2", "n").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
-    copies = cut(_salted(table.select("h1", "h2", "n", "id"), first, ["h1", "h2", "n"], "id").where("id <> first").select("id", "first"))
+    copies = cut(_salted(table.where("new").select("h1", "h2", "n", "id"), first, ["h1", "h2", "n"], "id").where("id <> first").select("id", "first"))
     single = table.join(copies.select("id"), "id", "left_anti")
-    links = verified(cut(candidate_pairs(single)), texts)
-    roots = accepted_of(links)
+    roots = accepted_of(verified(cut(candidate_pairs(single)), texts), table.where("not new").select("id"))
     exact = copies.join(roots.select(F.col("id").alias("first"), "root"), "first", "left").select(F.coalesce("root", "first").alias("result_id_a"), F.col("id").alias("result_id_b"))
     return exact.union(roots.select(F.col("root").alias("result_id_a"), F.col("id").alias("result_id_b")))
 
 
+def repeats(texts: DataFrame) -> DataFrame:
+    """(result_id_a, result_id_b): b repeats the accepted text a, a < b. ``texts`` holds (id, text), ids unique and in order
+    of arrival. Null texts and texts without words repeat nothing."""
+    return _matched(cut(pivot_table(texts, word_order(texts)).withColumn("new", F.lit(True))), [texts.select("id", "text")])
+
+
 class History:
-    """The pivot table of all accepted texts in a folder, to which each batch appends. The order of words is fixed by the
-    first batch and kept beside it."""
+    """All accepted texts and their pivot table in a folder, to which each batch appends. The order of words is fixed by the
+    first batch and kept beside them. Texts lie in folders by ranges of ids, and only folders with a candidate are read."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -256,22 +398,41 @@ class History:
             return None
 
     def table(self) -> DataFrame | None:
+        return self._read("pivots")
+
+    def texts(self) -> DataFrame | None:
         return self._read("texts")
 
     def order(self, batch: DataFrame) -> DataFrame:
-        if self._read("order") is None:
+        found = self._read("order")
+        if found is None:
             word_order(batch).write.parquet(f"{self.path}/order")
-        return self._read("order")
-
-    def match(self, batch: DataFrame, texts: DataFrame) -> DataFrame:
-        """As ``repeats``, for the rows of ``batch`` (id, text) only. Of ``texts``, all texts accepted before, only those of
-        candidate pairs are read in full; of the pivot table all rows, which meet the batch and not each other."""
-        new = pivot_table(batch, self.order(batch)).withColumn("new", F.lit(True))
-        old = self.table()
+            found = self._read("order")
+        return found
+
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Matches a batch of (id, text), ids greater than all before, appends its texts that repeat nothing, and returns its
+        (result_id_a, result_id_b), which are written before the history grows. Its texts are worked on once."""
+        old, texts = self.table(), self.texts()
+        new = cut(pivot_table(batch, self.order(batch)).withColumn("new", F.lit(True)))
         part = new if old is None else old.withColumn("new", F.lit(False)).unionByName(new)
-        return repeats(texts.select("id", "text").unionByName(batch.select("id", "text")), part)
-
-    def append(self, batch: DataFrame, matched: DataFrame) -> None:
-        """Adds the batch's texts that repeat nothing."""
-        new = batch.join(matched.select(F.col("result_id_b").alias("id")), "id", "left_anti")
-        pivot_table(new, self.order(batch)).write.mode("append").parquet(f"{self.path}/texts")
+        matched = cut(_matched(part, [batch.select("id", "text")] + ([texts] if texts is not None else [])))
+        fresh = matched.select(F.col("result_id_b").alias("id"))
+        new.drop("new").join(fresh, "id", "left_anti").write.mode("append").parquet(f"{self.path}/pivots")
+        kept = batch.where(F.col("text").isNotNull()).select("id", "text").join(fresh, "id", "left_anti").withColumn("folder", F.shiftright("id", FOLDER_BITS))
+        kept.write.mode("append").partitionBy("folder").parquet(f"{self.path}/texts")
+        return matched
+
+
+def batches(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """``repeats`` of (id, text, batch), batch after batch through a ``History`` in ``path``. Batches are ranges of ids: one
+    begins with its least id, so a row without a batch number belongs to the batch it arrived with. There are as many batches
+    as arrivals; their first ids reach the driver."""
+    starts = sorted(r["s"] for r in rows.where(F.col("batch").isNotNull() & F.col("id").isNotNull()).groupBy("batch").agg(F.min("id").alias("s")).collect()) or [0]
+    h, out = History(spark, path), None
+    for k, start in enumerate(starts):
+        low = F.col("id") >= start if k else F.lit(True)
+        batch = rows.where(low & (F.col("id") < starts[k + 1]) if k + 1 < len(starts) else low).select("id", "text")
+        matched = h.add(batch)
+        out = matched if out is None else out.unionByName(matched)
+    return out

@@ -89,9 +89,13 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 @query("p7_found")
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    from qatlam.llm.history import repeats
+    from uuid import uuid4
 
-    return repeats(table(spark, d, "results").selectExpr("result_id AS id", "kept_text AS text"))
+    from qatlam.llm.history import batches
+    from qatlam.runtime import ensure_checkpoint_dir
+
+    rows = table(spark, d, "results").selectExpr("result_id AS id", "kept_text AS text", "batch_no AS batch")
+    return batches(rows, spark, f"{ensure_checkpoint_dir(spark)}/history-{uuid4().hex}")
 
 
 @query("p6_segments")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from qatlam.llm import fold, history, language, leak, mainbody, mojibake, ocr, packing, quality, sitelines, tokens
+from qatlam.llm import codes, fold, history, language, leak, mainbody, mojibake, ocr, packing, quality, sitelines, tokens
 
 DATA = Path("/root/testdata/sf0.01")
 
@@ -328,7 +328,8 @@ def test_repeats_by_brute_force(spark):
     roots, want = [], []
     for b in sorted(text):
         n = len(text[b])
-        same = [a for a in roots if 0.7 < len(text[a]) / n < 1.4 and (bags[a] - bags[b]).total() <= 0.2 * len(text[a]) + 6 * (len(text[a]) > 24) and (bags[b] - bags[a]).total() <= 0.2 * n + 6 * (n > 24)]
+        most = lambda k: 3 * k // 20 + 6 * (k > 24)
+        same = [a for a in roots if 0.7 < len(text[a]) / n < 1.4 and (bags[a] - bags[b]).total() <= most(len(text[a])) and (bags[b] - bags[a]).total() <= most(n)]
         if same:
             want.append((same[0], b))
         else:
@@ -358,24 +359,36 @@ def test_edited_copies_of_every_length_meet(spark, least, most):
     vocabulary = [f"soz{i}" for i in range(3000)]
     weights = [1 / (i + 1) for i in range(3000)]
     texts = [rng.choices(vocabulary, weights, k=rng.randint(least, most)) for _ in range(60)]
-    pairs = [(i, edited(t, rng, vocabulary, 0.1 if i % 2 else 0.2, 3)) for i, t in enumerate(texts)]
+    pairs = [(i, edited(t, rng, vocabulary, 0.1 if i % 2 else 0.14, 3)) for i, t in enumerate(texts)]
     data = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in pairs]
     want = [(i, 1000 + i) for i, t in pairs if history.same_text(" ".join(texts[i]), " ".join(t))]
     assert len(want) > 50
     assert set(rows(history.repeats(spark.createDataFrame(data, "id long, text string")))) >= set(want)
 
 
-def test_pairs_under_a_crowded_word_all_meet(spark, monkeypatch):
-    # every text is built on one template and the copies are far behind their originals
-    monkeypatch.setattr(history, "BLOCK", 25)
+@pytest.mark.parametrize("run,block", [(8, 20_000), (2, 25), (10**6, 10**6)])
+def test_pairs_under_a_crowded_gram_all_meet(spark, monkeypatch, run, block):
+    # all texts hold one passage, which counts as rare as all other words here, and the copies are far behind their originals
+    monkeypatch.setattr(history, "RUN", run)
+    monkeypatch.setattr(history, "BLOCK", block)
     rng = random.Random(3)
     vocabulary = [f"soz{i}" for i in range(400)]
-    texts = [[f"shablon{i}" for i in range(12)] + rng.sample(vocabulary, 4) for _ in range(150)]
-    data = [(i, " ".join(t)) for i, t in enumerate(texts + [edited(t, rng, vocabulary, 0.2, 0) for t in texts])]
-    table = history.pivot_table(df := spark.createDataFrame(data, "id long, text string"), history.word_order(df)).withColumn("new", F.lit(True))
+    texts = [[f"shablon{i}" for i in range(12)] + rng.choices(vocabulary, k=30) for _ in range(150)]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts + [edited(t, rng, vocabulary, 0.1, 0) for t in texts])]
+    table = history.pivot_table(df := spark.createDataFrame(data, "id long, text string"), history.word_order(df.limit(0))).withColumn("new", F.lit(True))
     want = [(a, b) for a, x in data for b, y in data if a < b and history.same_text(x, y)]
     assert len(want) >= 100
-    assert rows(history.verified(history.candidate_pairs(table), df), "a", "b") == want
+    assert rows(history.verified(history.candidate_pairs(table), [df]), "a", "b") == want
+
+
+def test_words_by_plain_python():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("aBв9 '’ʻ\u200b-_.\n") for _ in range(rng.randint(0, 40))) for _ in range(400)] + ["", "O‘zbek o'ZBEK"]
+    h, at = codes.words(texts)
+    want = [(i, w) for i, t in enumerate(texts) for w in fold.plain_words(t)]
+    assert at.tolist() == [i for i, _ in want]
+    by = dict(zip([w for _, w in want], h.tolist()))
+    assert len(set(by.values())) == len(by) and [by[w] for _, w in want] == h.tolist()
 
 
 def test_chains_follow_accepted_texts(spark):
@@ -384,17 +397,17 @@ def test_chains_follow_accepted_texts(spark):
 
 
 def test_history_in_batches_equals_all_at_once(spark, tmp_path):
-    r = read(spark, "results").select(F.col("result_id").alias("id"), F.col("kept_text").alias("text"), "batch_no")
+    r = read(spark, "results").select(F.col("result_id").alias("id"), F.col("kept_text").alias("text"), F.col("batch_no").alias("batch"))
     whole = rows(history.repeats(r.select("id", "text")))
-    h = history.History(spark, str(tmp_path / "pivots"))
-    got, old = [], r.where("batch_no < 0").select("id", "text")
-    for no in (0, 1, 2, 3, 4):
-        b = r.where(f"batch_no = {no}").select("id", "text")
-        m = h.match(b, old).cache()
-        got += rows(m)
-        h.append(b, m)
-        old = old.union(b)
-    assert sorted(got) == whole
+    assert rows(history.batches(r, spark, str(tmp_path / "a"))) == whole and whole
+    # rows without a batch number belong to the batch they arrived with, and without any there is one batch
+    some = r.withColumn("batch", F.when(F.col("id") % 3 > 0, F.col("batch")))
+    assert rows(history.batches(some, spark, str(tmp_path / "b"))) == whole
+    assert rows(history.batches(r.withColumn("batch", F.lit(None).cast("int")), spark, str(tmp_path / "c"))) == whole
+    h = history.History(spark, str(tmp_path / "a"))
+    kept = {x.id for x in h.texts().collect()}
+    assert kept == {x.id for x in r.where("text is not null").collect()} - {b for _, b in whole}
+    assert history.batches(r.where("id < 0"), spark, str(tmp_path / "d")).count() == 0
 
 
 # 9
