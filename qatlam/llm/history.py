@@ -31,7 +31,7 @@ from qatlam.runtime import cut, fits
 
 CELLS = 1024
 #: Share of a text's words that its copy may have changed.
-TOLERANCE = 0.15
+TOLERANCE = 0.125
 #: Words that a copy may have more or less at its ends, besides.
 ENDS = 6
 #: Words in a gram. Texts of SHORT words at most have grams of two words, and those of LONG words at least, which a copy of any
@@ -49,11 +49,17 @@ PAIRS = 500_000
 SHIP_IDS = 1_000_000
 SALT = 8
 #: Characters of texts that are worked on together.
-CHUNK = 400_000
+CHUNK = 100_000
+#: Bits of the bitmap of a batch's grams, as a power of 2: 16 MB.
+BITS = 27
 #: A folder of the history's texts holds 2 to this power ids.
 FOLDER_BITS = 16
 
 _SIG = "id bigint, h1 bigint, h2 bigint, n int, prefix array<bigint>, parities binary"
+#: A key is the hash of a gram above the text's number of words, in so many bits (greater numbers count as the greatest), so
+#: rows sorted by key are sorted by gram and number of words.
+N_BITS = 16
+N_MOST = (1 << N_BITS) - 1
 
 
 def missing(n):
@@ -124,6 +130,7 @@ def _first_grams(h: np.ndarray, often: np.ndarray, rank: np.ndarray, first: np.n
     g, owner = g[order].view(np.int64), owner[order]
     edge = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
     keep = (lost(size[owner[edge]], width) + 1).astype(np.int64)
+    g = (g >> N_BITS << N_BITS) | np.minimum(size[owner], N_MOST)
     for r, a, e, k in zip(owner[edge], edge, np.append(edge[1:], len(g)), keep):
         out[r].extend(g[a : min(e, a + k)].tolist())
 
@@ -180,17 +187,17 @@ def _near(x: np.ndarray, y: np.ndarray, least: np.ndarray, n: np.ndarray, pariti
     return np.bitwise_count(parities[x] ^ parities[y]).sum(axis=1, dtype=np.int64) <= n[x] + n[y] - 2 * least
 
 
-def _meet(key: np.ndarray, ident: np.ndarray, n: np.ndarray, new: np.ndarray, block: np.ndarray | None = None, parities: np.ndarray | None = None) -> np.ndarray:
-    """Pairs of ids (2 x m, the lesser first, distinct) under equal keys, of which one is new and whose distances to the empty
+def _meet(key: np.ndarray, ident: np.ndarray, since: int, block: np.ndarray | None = None, parities: np.ndarray | None = None) -> np.ndarray:
+    """Pairs of ids (2 x m, the lesser first, distinct) under equal grams, the greater from ``since``, whose distances to the empty
     text leave room for a small one. With ``block`` only pairs of different blocks, with ``parities`` only those that the cells
-    leave room for. Rows come sorted by key and n."""
-    n = n.astype(np.int64)
+    leave room for. Rows come sorted by key. Texts of more than N_MOST words meet all of N_MOST."""
+    n, key = key & N_MOST, key >> N_BITS
     need = n - missing(n).astype(np.int64)
     top = int(n.max()) + 1 if len(n) else 0
     # the longest text that a text of a length can be a copy of
     lengths = np.arange(top + 1)
     shortest = np.minimum.accumulate((lengths - missing(lengths).astype(np.int64))[::-1])[::-1]
-    longest = np.minimum(np.searchsorted(shortest, lengths, side="right") - 1, top)
+    longest = np.where(lengths * 2 > N_MOST, top, np.minimum(np.searchsorted(shortest, lengths, side="right") - 1, top))
     rank = np.cumsum(np.append(0, key[1:] != key[:-1])) * (top + 1)
     stop = np.searchsorted(rank + n, rank + longest[n], side="right")
     count = np.maximum(stop - np.arange(len(key)) - 1, 0)
@@ -204,7 +211,7 @@ def _meet(key: np.ndarray, ident: np.ndarray, n: np.ndarray, new: np.ndarray, bl
         y = x + 1 + np.arange(len(x)) - np.repeat(before[lo:hi] - before[lo], c)
         lo = hi
         least = np.maximum(need[x], need[y])
-        ok = (new[x] | new[y]) & (ident[x] != ident[y])
+        ok = (np.maximum(ident[x], ident[y]) >= since) & (ident[x] != ident[y])
         if block is not None:
             ok &= block[x] != block[y]
         x, y, least = x[ok], y[ok], least[ok]
@@ -215,93 +222,84 @@ def _meet(key: np.ndarray, ident: np.ndarray, n: np.ndarray, new: np.ndarray, bl
     return np.unique(np.concatenate(found, axis=1), axis=1)
 
 
-_MET = "a bigint, b bigint, key bigint, id bigint, n int, new boolean"
+_MET = "a bigint, b bigint, key bigint"
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and n: pairs (a, b) of each key, or, where a key has more than RUN rows, the rows themselves."""
-    held: list[pa.RecordBatch] = []
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("new", pa.bool_())])
+def _runs(since: int):
+    """A function over rows (key, id) sorted by key: pairs (a, b) of each gram, or, where a gram has more than RUN rows, the rows
+    themselves as (null, id, key)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
 
-    def rows(t: pa.Table) -> pa.RecordBatch:
-        none = pa.nulls(t.num_rows, pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, *[t.column(c).combine_chunks() for c in schema.names[2:]]], schema=schema)
+    def batch(a: np.ndarray | None, b: np.ndarray, key: np.ndarray | None) -> pa.RecordBatch:
+        none = pa.nulls(len(b), pa.int64())
+        return pa.RecordBatch.from_arrays([none if x is None else pa.array(x) for x in (a, b, key)], schema=schema)
 
-    def pairs(t: pa.Table) -> pa.RecordBatch:
-        a, b = _meet(*[t.column(c).to_numpy() for c in ("key", "id", "n", "new")])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *[pa.nulls(len(a), t) for t in schema.types[2:]]], schema=schema)
-
-    def settled(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = t.column("key").to_numpy()
-        edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        size = np.diff(np.append(edge, len(key)))
-        single = np.repeat(size == 1, size)
-        big = np.repeat(size > RUN, size)
+    def settled(key: np.ndarray, ident: np.ndarray) -> Iterator[pa.RecordBatch]:
+        gram = key >> N_BITS
+        edge = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        size = np.diff(np.append(edge, len(gram)))
+        size = np.repeat(size, size)
+        big, few = size > RUN, (size > 1) & (size <= RUN)
         if big.any():
-            yield rows(t.filter(pa.array(big)))
-        t = t.filter(pa.array(~single & ~big))
-        if t.num_rows:
-            yield pairs(t)
-
-    crowded = None
-    for b in batches:
-        key = b.column("key").to_numpy()
-        if not len(key):
-            continue
-        last = key[-1]
-        start = int(np.searchsorted(key != last, False)) if (key == last).all() else int(len(key) - np.argmax(key[::-1] != last))
-        whole, rest = b.slice(0, start), b.slice(start)
-        if crowded is not None:
-            # the rest of a key that was found to be crowded
-            more = int(np.argmax(key != crowded)) if (key != crowded).any() else len(key)
-            if more:
-                yield rows(pa.Table.from_batches([b.slice(0, more)]))
-            if more == len(key):
+            yield batch(None, ident[big], key[big])
+        if few.any():
+            yield batch(*_meet(key[few], ident[few], since), None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for b in batches:
+            keys, ids = np.append(keys, b.column(0).to_numpy()), np.append(ids, b.column(1).to_numpy())
+            if not len(keys):
                 continue
-            crowded = None
-            whole, rest = b.slice(more, max(0, start - more)), b.slice(max(start, more))
-        if whole.num_rows:
-            yield from settled(pa.Table.from_batches([*held, whole]))
-            held = []
-        elif held and held[0].column("key")[0].as_py() != last:
-            yield from settled(pa.Table.from_batches(held))
-            held = []
-        held.append(rest)
-        if sum(h.num_rows for h in held) > BLOCK:
-            yield rows(pa.Table.from_batches(held))
-            held, crowded = [], last
-    if held:
-        yield from settled(pa.Table.from_batches(held))
-
-
-def _blocks(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two blocks of a crowded key, or of one with itself."""
-    rows = rows.sort_values("n", kind="stable")
-    within = rows["one"].iloc[0] == rows["other"].iloc[0]
-    parities = np.frombuffer(b"".join(rows["parities"]), dtype=np.uint64).reshape(len(rows), -1)
-    columns = [rows[c].to_numpy() for c in ("key", "id", "n")]
-    a, b = _meet(*columns, rows["new"].to_numpy(dtype=bool), None if within else rows["block"].to_numpy(), parities)
-    return pd.DataFrame({"a": a, "b": b})
-
-
-def candidate_pairs(table: DataFrame) -> DataFrame:
-    """(a, b) with a < b of all texts, one of them new, whose prefixes and pivot distances leave room for a small distance. A
-    gram of many texts is compared with the cells at hand, so that only near pairs leave its task, and one of more than BLOCK
-    texts is split into blocks, of which every two meet in a task of their own."""
-    rows = table.select(F.explode("prefix").alias("key"), "id", "n", "new")
-    if not table.where("not new").isEmpty():
-        # of the history only what shares a gram with the batch is shuffled
-        rows = rows.where("new").unionByName(rows.where("not new").join(rows.where("new").select("key").distinct(), "key", "left_semi"))
-    met = cut(rows.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_runs, _MET))
+            # the last gram may go on in the next batch; once it is crowded its first RUN + 1 rows are enough to tell
+            cut_at = int(np.searchsorted(keys >> N_BITS, keys[-1] >> N_BITS))
+            if cut_at:
+                yield from settled(keys[:cut_at], ids[:cut_at])
+            keys, ids = keys[cut_at:], ids[cut_at:]
+            if len(keys) > 2 * RUN + 1:
+                yield batch(None, ids[: -RUN - 1], keys[: -RUN - 1])
+                keys, ids = keys[-RUN - 1 :], ids[-RUN - 1 :]
+        if len(keys):
+            yield from settled(keys, ids)
+
+    return run
+
+
+def _blocks(since: int):
+    """A function over two blocks of a crowded gram, or one with itself, that gives their pairs."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key", kind="stable")
+        within = rows["one"].iloc[0] == rows["other"].iloc[0]
+        parities = np.frombuffer(b"".join(rows["parities"]), dtype=np.uint64).reshape(len(rows), -1)
+        a, b = _meet(rows["key"].to_numpy(), rows["id"].to_numpy(), since, None if within else rows["block"].to_numpy(), parities)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return run
+
+
+def keys_of(table: DataFrame) -> DataFrame:
+    return table.select(F.explode("prefix").alias("key"), "id")
+
+
+def candidate_pairs(pivots: DataFrame, keys: DataFrame, since: int | None = None) -> DataFrame:
+    """(a, b) with a < b of all texts, b from ``since``, whose prefixes (key, id) and pivot distances (id, n, parities) leave room
+    for a small distance. A gram of many texts is compared with the cells at hand, so that only near pairs leave its task, and
+    one of more than BLOCK texts is split into blocks, of which every two meet in a task of their own."""
+    since = -(2**63) if since is None else since
+    met = cut(keys.repartition(F.shiftright("key", N_BITS)).sortWithinPartitions("key").mapInArrow(_runs(since), _MET))
     pairs = met.where("a is not null").select("a", "b")
-    crowd = met.where("a is null").select("key", "id", "n", "new")
-    if not crowd.isEmpty():
-        sizes = crowd.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        c = crowd.join(F.broadcast(sizes), "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-        c = c.join(table.select("id", "parities"), "id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        c = c.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop("with", "blocks")
-        pairs = pairs.unionByName(c.groupBy("key", "one", "other").applyInPandas(_blocks, "a bigint, b bigint"))
-    pivots = table.select("id", "n", "parities")
+    crowd = met.where("a is null").select("key", F.col("b").alias("id"), F.shiftright("key", N_BITS).alias("gram"))
+    n_crowd = crowd.count()
+    if n_crowd:
+        sizes = crowd.groupBy("gram").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        c = crowd.join(sizes, "gram").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+        # grams that need no blocks go together in groups of about BLOCK rows
+        c = c.withColumn("whole", F.col("blocks") == 1).withColumn("group", F.when(F.col("whole"), F.pmod("gram", F.lit(n_crowd // BLOCK + 1))).otherwise(F.col("gram")))
+        c = c.join(pivots.select("id", "parities"), "id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        c = c.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with")).drop("with", "blocks", "gram")
+        pairs = pairs.unionByName(c.groupBy("whole", "group", "one", "other").applyInPandas(_blocks(since), "a bigint, b bigint"))
+    # near pairs are few, so both joins are small on one side
     p = pairs.distinct().join(pivots.toDF("a", "na", "pa"), "a").join(pivots.toDF("b", "nb", "pb"), "b")
 
     @F.pandas_udf("boolean")
@@ -315,6 +313,11 @@ def candidate_pairs(table: DataFrame) -> DataFrame:
     return p.where(near("na", "pa", "nb", "pb")).select("a", "b")
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """``ids``, sent to all executors where there are SHIP_IDS at most."""
+    return F.broadcast(ids) if fits(ids, SHIP_IDS) else ids
+
+
 def _salted(left: DataFrame, right: DataFrame, on: list[str], by: str) -> DataFrame:
     """Inner join in which the rows of one key on the left are spread over SALT tasks."""
     r = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALT)])))
@@ -325,7 +328,7 @@ def verified(pairs: DataFrame, texts: list[DataFrame]) -> DataFrame:
     """The pairs whose texts are the same by the true distance. ``texts`` are (id, text) or (id, text, folder) tables; of one
     with folders only those are read that hold a text in question."""
     ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().withColumn("folder", F.shiftright("id", FOLDER_BITS)))
-    small = F.broadcast(ids) if fits(ids, SHIP_IDS) else ids
+    small = _few(ids)
     parts = [t.join(small, ["id", "folder"] if "folder" in t.columns else "id", "left_semi").select("id", "text") for t in texts]
     needed = parts[0]
     for p in parts[1:]:
@@ -340,18 +343,17 @@ def verified(pairs: DataFrame, texts: list[DataFrame]) -> DataFrame:
     return left.join(needed.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").where(same("ta", "tb")).select("a", "b")
 
 
-def accepted_of(links: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
+def accepted_of(links: DataFrame, since: int | None = None) -> DataFrame:
     """(id, root) of each text that repeats an accepted one, from (a, b) links with a < b. In order of ids a text is
-    accepted unless it links to an accepted text before it; ``accepted`` (id) are so from the start. A round settles every
+    accepted unless it links to an accepted text before it; ids under ``since`` are accepted from the start. A round settles every
     text that links to an accepted one, or whose links all lead to settled ones; the least open text always is among them.
     Near-copies form shallow stars, so there are few rounds."""
     links = cut(links)
     if links.isEmpty():
         return links.select(F.col("b").alias("id"), F.col("a").alias("root"))
-    states = links.select(F.col("a").alias("id")).distinct().join(links.select(F.col("b").alias("id")), "id", "left_anti").withColumn("accepted", F.lit(True))
-    if accepted is not None:
-        sure = links.select(F.col("a").alias("id")).union(links.select("b")).distinct().join(accepted, "id", "left_semi")
-        states = states.union(sure.withColumn("accepted", F.lit(True))).distinct()
+    heads = links.select(F.col("a").alias("id")).distinct().join(links.select(F.col("b").alias("id")), "id", "left_anti")
+    states = heads.union(links.where(F.col("a") < since).select("a").distinct()).distinct() if since is not None else heads
+    states = states.withColumn("accepted", F.lit(True))
     states = cut(states)
     while True:
         open_ = links.join(states.select(F.col("id").alias("b")), "b", "left_anti").join(states.select(F.col("id").alias("a"), "accepted"), "a", "left")
@@ -365,63 +367,95 @@ def accepted_of(links: DataFrame, accepted: DataFrame | None = None) -> DataFram
     return links.join(copies, "b", "left_semi").join(good, "a", "left_semi").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root"))
 
 
-def _matched(table: DataFrame, texts: list[DataFrame]) -> DataFrame:
-    """(result_id_a, result_id_b): b is new and repeats the accepted text a. ``table`` is the pivot table with ``new``; what is
-    not new is accepted. Exact copies are first reduced to their first text, so a group of copies of any size costs one row."""
-    first = table.groupBy("h1", "h2", "n").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
-    copies = cut(_salted(table.where("new").select("h1", "h2", "n", "id"), first, ["h1", "h2", "n"], "id").where("id <> first").select("id", "first"))
-    single = table.join(copies.select("id"), "id", "left_anti")
-    roots = accepted_of(verified(cut(candidate_pairs(single)), texts), table.where("not new").select("id"))
+def _matched(new: DataFrame, texts: list[DataFrame], old: DataFrame | None = None, since: int | None = None) -> DataFrame:
+    """(result_id_a, result_id_b): b of the pivot table ``new`` repeats the accepted text a, of ``new`` or of ``old``, all of
+    whose texts are accepted and have ids under ``since``. Exact copies are first reduced to their first text, so a group of
+    copies of any size costs one row."""
+    ids = new.select("id", "h1", "h2", "n")
+    every = ids if old is None else ids.unionByName(old.select("id", "h1", "h2", "n"))
+    first = every.groupBy("h1", "h2", "n").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    copies = cut(_salted(ids, first, ["h1", "h2", "n"], "id").where("id <> first").select("id", "first"))
+    single = new.join(_few(copies.select("id")), "id", "left_anti")
+    pivots, keys = new.select("id", "n", "parities"), keys_of(single)
+    if old is not None:
+        pivots = pivots.unionByName(old.select("id", "n", "parities"))
+        keys = keys.unionByName(hits(old, keys))
+    pairs = cut(candidate_pairs(pivots, keys, since))
+    roots = accepted_of(verified(pairs, texts), since)
     exact = copies.join(roots.select(F.col("id").alias("first"), "root"), "first", "left").select(F.coalesce("root", "first").alias("result_id_a"), F.col("id").alias("result_id_b"))
     return exact.union(roots.select(F.col("root").alias("result_id_a"), F.col("id").alias("result_id_b")))
 
 
+def hits(old: DataFrame, keys: DataFrame) -> DataFrame:
+    """The (key, id) of the history whose gram may be among ``keys``, of which a bitmap of fixed size (2^BITS bits) goes to the
+    executors. The history is scanned but not shuffled; a full bitmap lets more through and loses nothing."""
+    place = F.shiftright("key", N_BITS).bitwiseAND((1 << BITS) - 1) + 1
+    chunks = keys.select(place.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("c")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits")).collect()
+    bitmap = np.zeros((1 << BITS) // 8, dtype=np.uint8)
+    for r in chunks:
+        at = (r["c"] - 1) * 4096
+        bitmap[at : at + 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    sent = old.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(1)
+            key = lists.flatten().to_numpy()
+            ident = np.repeat(b.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            at = (key >> N_BITS) & ((1 << BITS) - 1)
+            there = (sent.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+            yield pa.RecordBatch.from_arrays([pa.array(key[there]), pa.array(ident[there])], names=["key", "id"])
+
+    return old.select("id", "prefix").mapInArrow(run, "key bigint, id bigint")
+
+
 def repeats(texts: DataFrame) -> DataFrame:
     """(result_id_a, result_id_b): b repeats the accepted text a, a < b. ``texts`` holds (id, text), ids unique and in order
     of arrival. Null texts and texts without words repeat nothing."""
-    return _matched(cut(pivot_table(texts, word_order(texts)).withColumn("new", F.lit(True))), [texts.select("id", "text")])
+    return _matched(cut(pivot_table(texts, word_order(texts))), [texts.select("id", "text")])
 
 
 class History:
-    """All accepted texts and their pivot table in a folder, to which each batch appends. The order of words is fixed by the
+    """All accepted texts and the pivot table in a folder, to which each batch appends. The order of words is fixed by the
     first batch and kept beside them. Texts lie in folders by ranges of ids, and only folders with a candidate are read."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _read(self, name: str) -> DataFrame | None:
+    def read(self, name: str) -> DataFrame | None:
+        """The table ``order``, ``pivots`` (of all texts), ``copies`` (id, root) or ``texts``; None before the first batch."""
         try:
             return self.spark.read.parquet(f"{self.path}/{name}")
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
 
-    def table(self) -> DataFrame | None:
-        return self._read("pivots")
-
-    def texts(self) -> DataFrame | None:
-        return self._read("texts")
-
     def order(self, batch: DataFrame) -> DataFrame:
-        found = self._read("order")
-        if found is None:
+        if self.read("order") is None:
             word_order(batch).write.parquet(f"{self.path}/order")
-            found = self._read("order")
-        return found
-
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Matches a batch of (id, text), ids greater than all before, appends its texts that repeat nothing, and returns its
-        (result_id_a, result_id_b), which are written before the history grows. Its texts are worked on once."""
-        old, texts = self.table(), self.texts()
-        new = cut(pivot_table(batch, self.order(batch)).withColumn("new", F.lit(True)))
-        part = new if old is None else old.withColumn("new", F.lit(False)).unionByName(new)
-        matched = cut(_matched(part, [batch.select("id", "text")] + ([texts] if texts is not None else [])))
-        fresh = matched.select(F.col("result_id_b").alias("id"))
-        new.drop("new").join(fresh, "id", "left_anti").write.mode("append").parquet(f"{self.path}/pivots")
-        kept = batch.where(F.col("text").isNotNull()).select("id", "text").join(fresh, "id", "left_anti").withColumn("folder", F.shiftright("id", FOLDER_BITS))
-        kept.write.mode("append").partitionBy("folder").parquet(f"{self.path}/texts")
-        return matched
+        return self.read("order")
+
+    def add(self, batch: DataFrame, number: int) -> DataFrame:
+        """Matches batch ``number`` of (id, text), ids greater than all before, appends its rows and gives its
+        (result_id_a, result_id_b). Each text is worked on once, when it comes; afterwards only its row of the pivot table and
+        the texts of candidates are read."""
+        batch = batch.where(F.col("text").isNotNull() & F.col("id").isNotNull()).select("id", "text")
+        old, copies, texts = self.read("pivots"), self.read("copies"), self.read("texts")
+        folder = f"{self.path}/pivots/part={number}"
+        pivot_table(batch, self.order(batch)).write.parquet(folder)
+        new = self.spark.read.parquet(folder)
+        if old is not None:
+            old = old.drop("part").join(_few(copies.select("id")), "id", "left_anti")
+        since = new.agg(F.min("id")).first()[0]
+        if since is None:
+            return new.select(F.col("id").alias("result_id_a"), F.col("id").alias("result_id_b"))
+        matched = _matched(new, [batch] + ([texts] if texts is not None else []), old, since)
+        matched.select(F.col("result_id_b").alias("id"), F.col("result_id_a").alias("root")).write.parquet(f"{self.path}/copies/part={number}")
+        found = self.spark.read.parquet(f"{self.path}/copies/part={number}")
+        fresh = batch.join(_few(found.select("id")), "id", "left_anti").withColumn("folder", F.shiftright("id", FOLDER_BITS))
+        fresh.write.mode("append").partitionBy("folder").parquet(f"{self.path}/texts")
+        return found.select(F.col("root").alias("result_id_a"), F.col("id").alias("result_id_b"))
 
 
 def batches(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
@@ -432,7 +466,6 @@ def batches(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
     h, out = History(spark, path), None
     for k, start in enumerate(starts):
         low = F.col("id") >= start if k else F.lit(True)
-        batch = rows.where(low & (F.col("id") < starts[k + 1]) if k + 1 < len(starts) else low).select("id", "text")
-        matched = h.add(batch)
+        matched = h.add(rows.where(low & (F.col("id") < starts[k + 1]) if k + 1 < len(starts) else low), k)
         out = matched if out is None else out.unionByName(matched)
     return out
