@@ -50,8 +50,8 @@ SHIP_IDS = 1_000_000
 SALT = 8
 #: Characters of texts that are worked on together.
 CHUNK = 100_000
-#: Bits of the bitmap of a batch's grams, as a power of 2: 16 MB.
-BITS = 27
+#: Bits of the bitmap of a batch's grams, as a power of 2: 8 MB.
+BITS = 26
 #: A folder of the history's texts holds 2 to this power ids.
 FOLDER_BITS = 16
 

@@ -87,17 +87,28 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return restored(documents, garbled(documents))
 
 
-@query("p7_found")
-def p7_found(spark: SparkSession, d: str) -> DataFrame:
+def _through_history(spark: SparkSession, d: str, batch: str) -> DataFrame:
     from uuid import uuid4
 
     from qatlam.llm.history import batches
     from qatlam.runtime import ensure_checkpoint_dir
 
-    rows = table(spark, d, "results").selectExpr("result_id AS id", "kept_text AS text", "batch_no AS batch")
+    rows = table(spark, d, "results").selectExpr("result_id AS id", "kept_text AS text", f"{batch} AS batch")
     return batches(rows, spark, f"{ensure_checkpoint_dir(spark)}/history-{uuid4().hex}")
 
 
+@query("p7_found")
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """The accepted history is added first, then all that arrived later."""
+    return _through_history(spark, d, "least(batch_no, 1)")
+
+
+@query("p7_batches")
+def p7_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Each batch is matched against what was accepted before it came; the rows are those of p7_found."""
+    return _through_history(spark, d, "batch_no")
+
+
 @query("p6_segments")
 def p6_segments(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.language import block_segments
