@@ -60,9 +60,33 @@ n AS (SELECT site, key, count(DISTINCT page) AS pages FROM k WHERE key <> '' GRO
 
 @query("p2_found", P2_LINES + "SELECT page_id, candidate_id, CAST(line_no AS BIGINT) AS line_no FROM k JOIN n USING (site, key)")
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    from qatlam.llm.sitelines import boilerplate
+    from qatlam.llm.sitelines import repeated_lines
 
-    return boilerplate(table(spark, d, "candidates"), table(spark, d, "pages"))[1].select("page_id", "candidate_id", "line_no")
+    return repeated_lines(table(spark, d, "candidates"), table(spark, d, "pages")).select("page_id", "candidate_id", "line_no")
+
+
+@query("p2_blocks")
+def p2_blocks(spark: SparkSession, d: str) -> DataFrame:
+    from qatlam.llm.sitelines import block_report, boilerplate
+
+    return block_report(boilerplate(table(spark, d, "candidates"), table(spark, d, "pages"))[1])
+
+
+P2_TEXTS = P2_LINES + """, gone AS (SELECT page_id, candidate_id, line_no FROM k JOIN n USING (site, key)),
+kept AS (SELECT l.page_id, l.candidate_id, l.line_no, l.line FROM l ANTI JOIN gone g ON l.page_id = g.page_id AND l.candidate_id = g.candidate_id AND l.line_no = g.line_no),
+t AS (SELECT page_id, candidate_id, string_agg(line, chr(10) ORDER BY line_no) AS clean_text FROM kept GROUP BY page_id, candidate_id)
+SELECT c.page_id, c.candidate_id, CASE WHEN c.text IS NULL THEN NULL ELSE coalesce(t.clean_text, '') END AS clean_text
+FROM candidates c LEFT JOIN t ON c.page_id = t.page_id AND c.candidate_id = t.candidate_id"""
+
+
+@query("p2_texts", P2_TEXTS)
+def p2_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Every occurrence of a block's line is deleted; each line of high support belongs to a block."""
+    from qatlam.llm.sitelines import boilerplate, without_lines
+
+    candidates = table(spark, d, "candidates")
+    found = boilerplate(candidates, table(spark, d, "pages"))[1]
+    return without_lines(candidates.select("page_id", "candidate_id", "text"), found).select("page_id", "candidate_id", "clean_text")
 
 
 @query("p3_found")

@@ -101,12 +101,15 @@ def test_site_lines_by_brute_force(spark):
                 lines.append((r.page_id, r.candidate_id, n, (host(page[r.page_id]), key(x))))
     want = sorted((p, k, n) for p, k, n, x in lines if len(seen[x]) >= 5)
     assert rows(sitelines.boilerplate(c, pages)[1], "page_id", "candidate_id", "line_no") == want
+    assert rows(sitelines.repeated_lines(c, pages), "page_id", "candidate_id", "line_no") == want
 
 
 def test_site_blocks_are_components(spark):
     text = "Menyu bir\nMenyu ikki\n{}\nHuquqlar himoyalangan"
     c = spark.createDataFrame([(i, "c1", text.format("Matn " + "abcdef"[i] * 9)) for i in range(6)] + [(7, "c1", None), (99, "c1", "Menyu bir")], "page_id long, candidate_id string, text string")
     blocks, found = sitelines.boilerplate(c, pages_of(spark, 8))
+    report = sitelines.block_report(found).collect()
+    assert [(r.n_lines, r.n_pages, r.n_occurrences) for r in report] == [(3, 6, 18)]
     assert blocks.count() == 3 and blocks.select("block").distinct().count() == 1
     clean = {r.page_id: r.clean_text for r in sitelines.without_lines(c, found).collect()}
     assert clean[0] == "Matn aaaaaaaaa" and clean[7] is None and clean[99] == "Menyu bir"
