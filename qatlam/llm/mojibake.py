@@ -1,16 +1,20 @@
 """Text decoded with the wrong character encoding (problem 10).
 
 Records are joined with clean near-twins at the level of word types, the largest unit that has twins in a corpus of
-unique texts: a garbled word meets the clean words that it equals once a candidate transformation is undone, or, where
-letters were lost, once the stand-ins are stripped. Aligning the characters of all twins yields the learned mapping:
+unique texts. Words are joined on what is left of them without non-ASCII characters; the two words of such a pair are
+aligned at the ASCII characters, and the transformation is the one under which every sequence between them stands for its
+counterpart. A word of which nothing is left when stripped meets instead the clean words that it equals once a candidate
+transformation is undone, or, where letters were lost, once the stand-ins are. Aligning all twins yields the learned mapping:
 which transformations occur, and which garbled sequence stands for which character under each. The mapping is then
-applied to the words that have no twin. Words are counted over all documents; only word types are shuffled.
+applied to the words that have no twin. Passages of which only question marks are left can't be restored and are found by
+their runs. Words are counted over all documents; only word types are shuffled.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -111,7 +115,48 @@ def aligned(token: str, restored: str, chain: str) -> list[tuple[str, str]]:
     return out
 
 
+_ASCII = re.compile("[\x00-\x7f]+")
+
+
+@lru_cache(100_000)
+def _explained(garbled: str, clean: str) -> frozenset[str]:
+    """The transformations that turn ``clean`` into ``garbled``."""
+    return frozenset(c for c in CHAINS if undo(garbled, c) == clean)
+
+
+def inferred(token: str, twin: str) -> list[str]:
+    """The transformations that turn ``twin`` into ``token``, by aligning them at their ASCII characters: the sequences
+    between these must stand for each other. None where the ASCII characters differ."""
+    if _ASCII.findall(token) != _ASCII.findall(twin):
+        return []
+    a, b = _ASCII.split(token), _ASCII.split(twin)
+    if len(a) != len(b) or a == b:
+        return []
+    return sorted(frozenset.intersection(*[_explained(x, y) for x, y in zip(a, b) if x or y]))
+
+
 _SPLIT = r"[ \t\r\n]+"
+#: Four words and more in a row of which only question marks are left; signs and digits between them stay as they were.
+LOST_RUN = r"(?:(?:^|\s)[^\p{L}\s?]*\?[^\p{L}\s]*(?=\s|$)){4,}"
+
+
+def stripped_twins(types: DataFrame) -> DataFrame:
+    """(token, chain, restored): words joined with far more common ones on their ASCII characters. ``types`` holds (token, n)."""
+    core = F.regexp_replace("token", r"^[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+|[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+$", "")
+    odd = types.where(F.col("token").rlike(r"[^\x00-\x7f]")).select("token", core.alias("core"), "n").withColumn("left", F.lower(F.regexp_replace("core", r"[^\x00-\x7f]+", "")))
+    odd = odd.where("length(left) >= 3")
+    # counted without the signs around a word, so that a clean word with rare signs isn't taken for its garbled form's garbling
+    cores = odd.groupBy("left", "core").agg(F.sum("n").alias("docs"))
+    clean = cores.where(F.col("docs") >= CLEAN_DOCS).select("left", F.col("core").alias("twin"), F.col("docs").alias("often"))
+    pairs = cores.join(clean, "left").where((F.col("often") >= RATIO * F.col("docs")) & (F.col("core") != F.col("twin")))
+    pairs = odd.join(pairs, ["left", "core"]).select("token", "core", "twin")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(t, c, t.replace(x, y)) for t, x, y in zip(b["token"], b["core"], b["twin"]) for c in inferred(x, y)]
+            yield pd.DataFrame([r for r in rows if _plausible(r[2])], columns=["token", "chain", "restored"])
+
+    return pairs.mapInPandas(run, "token string, chain string, restored string").distinct()
 
 
 def tokens(documents: DataFrame) -> DataFrame:
@@ -148,7 +193,7 @@ def garbled_types(documents: DataFrame) -> DataFrame:
     known = (F.col("docs") >= F.lit(RATIO) * F.coalesce("own", "n")).cast("double")
     per = seen.groupBy("token", "chain", "restored").agg(F.sum(F.col("share") * F.coalesce(known, F.lit(0.0))).alias("cover"), F.max("own").alias("own"), F.max("n").alias("n"))
     per = cut(per)
-    twins = per.where("cover >= 0.7")
+    twins = cut(per.where("cover >= 0.7").select("token", "chain", "restored").union(stripped_twins(types)).distinct())
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -171,7 +216,7 @@ def garbled_types(documents: DataFrame) -> DataFrame:
 
     # words of eight-bit transformations without a twin are taken only where nothing speaks for them as they stand
     alone = per.where((F.col("cover") < 0.7) & (F.col("own").isNull() | F.col("chain").startswith("utf-8"))).mapInPandas(rest, "token string, chain string, restored string")
-    both = twins.select("token", "chain", "restored", F.lit(0).alias("rank")).unionByName(alone.withColumn("rank", F.when(F.col("chain").startswith("utf-8"), 1).otherwise(2)))
+    both = twins.withColumn("rank", F.lit(0)).unionByName(alone.withColumn("rank", F.when(F.col("chain").startswith("utf-8"), 1).otherwise(2)))
     best = both.groupBy("token").agg(F.min(F.struct("rank", "chain", "restored")).alias("b")).select("token", "b.chain", "b.restored", "b.rank")
     gone = types.where(F.col("token").contains("�")).select("token", F.lit("replaced").alias("chain"), F.lit(None).cast("string").alias("restored"), F.lit(0).alias("rank"))
     return best.where(~F.col("token").contains("�")).unionByName(gone)
@@ -182,7 +227,9 @@ def garbled(documents: DataFrame) -> DataFrame:
     count; entities, foreign names and repeated question marks are not garbled, since they have no clean twin."""
     types = cut(garbled_types(documents))
     odd = tokens(documents.where(F.col("text").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))).where(F.col("token").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))
-    return odd.join(F.broadcast(types) if fits(types, SHIP_TYPES) else types, "token")
+    hits = odd.join(F.broadcast(types) if fits(types, SHIP_TYPES) else types, "token")
+    gone = documents.where(F.contains("text", F.lit("?? ")) | F.contains("text", F.lit("??\n"))).select("doc_id", F.regexp_extract("text", LOST_RUN, 0).alias("token")).where("token <> ''")
+    return hits.unionByName(gone.select("doc_id", "token", F.lit("only question marks").alias("chain"), F.lit(None).cast("string").alias("restored"), F.lit(0).alias("rank")))
 
 
 def found(hits: DataFrame) -> DataFrame:

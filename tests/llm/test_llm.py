@@ -486,15 +486,25 @@ def test_garbled_documents(spark):
         205: "yo�qolgan harf",
         206: None,
         207: "",
+        208: "Matn bor. ?????? ???? 19 ?? ???????, ???? ????????? bor",
+        209: "??? ?? Nima? ??? Kim? ???? bor",
     }
     docs = spark.createDataFrame([*clean, *cases.items()], "doc_id long, text string")
     hits = mojibake.garbled(docs).cache()
-    assert {r.doc_id for r in mojibake.found(hits).collect()} - {200} == {201, 202, 205}
+    assert {r.doc_id for r in mojibake.found(hits).collect()} - {200} == {201, 202, 205, 208}
     fixed = {r.doc_id: (r.restored_text, r.complete) for r in mojibake.restored(docs, hits).collect()}
     assert fixed[201] == ("Oddiy gap. китоблар мактабда дарахтлар", True) and fixed[205][1] is False
     assert mojibake.found(mojibake.garbled(docs.where("doc_id > 999"))).count() == 0
 
 
+def test_twins_on_stripped_text(spark):
+    assert mojibake.inferred("oâ€˜zbekâ€™", "o‘zbek’") and "utf-8 as cp1252" in mojibake.inferred("oâ€˜zbek", "o‘zbek")
+    assert mojibake.inferred("yaðmur", "yağmur") == ["cp1254 as cp1252"] and mojibake.inferred("olma", "anor") == [] == mojibake.inferred("ğa", "ğa")
+    types = [("o‘zbek", 30), ("oâ€˜zbek,", 2), ("yağmur.", 9), ("yaðmur", 1), ("yağmur?!", 1), ("ğ", 9), ("olma", 50)]
+    got = rows(mojibake.stripped_twins(spark.createDataFrame(types, "token string, n long")), "token", "chain", "restored")
+    assert {(t, r) for t, _, r in got} == {("oâ€˜zbek,", "o‘zbek,"), ("yaðmur", "yağmur")}
+
+
 def test_no_query_needs_a_session_to_be_listed():
     from qatlam.llm import queries
 
