@@ -89,8 +89,8 @@ def _plausible(token: str) -> bool:
 def restorations(token: str) -> Iterator[tuple[str, str]]:
     """(transformation, restored token) of all transformations that may have made ``token``."""
     if token.isascii():
-        if re.search(r"[^\W\d_]\?[^\W\d_]", token):
-            yield LOST, re.sub(r"(?<=[^\W\d_])\?(?=[^\W\d_])", "'", token)
+        if re.search(r"[^\W\d_]\?{1,3}[^\W\d_]", token):
+            yield LOST, re.sub(r"(?<=[^\W\d_])\?{1,3}(?=[^\W\d_])", "'", token)
         return
     for chain in CHAINS:
         t = undo(token, chain)
@@ -184,7 +184,7 @@ def garbled_types(documents: DataFrame) -> DataFrame:
 
     words = types.mapInPandas(clean, "core string, n bigint").groupBy("core").agg(F.sum("n").alias("docs")).where(F.col("docs") >= CLEAN_DOCS)
     words = cut(words)
-    odd = types.where(F.col("token").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))
+    odd = types.where(F.col("token").rlike(r"[^\x00-\x7f]|\p{L}\?{1,3}\p{L}"))
     guess = cut(spread(odd, "token").mapInPandas(guesses, "token string, n bigint, chain string, restored string, core string, share double"))
     # how common the token's longest word is: a word that is common as it stands isn't garbled
     own = odd.mapInPandas(lambda bs: (pd.DataFrame([(t, max(cores(t), key=len)) for t in b["token"] if cores(t)], columns=["token", "core"]) for b in bs), "token string, core string")
@@ -226,7 +226,7 @@ def garbled(documents: DataFrame) -> DataFrame:
     """(doc_id, token, chain, restored, rank) of all garbled tokens. Null and empty texts have none; repeated texts each
     count; entities, foreign names and repeated question marks are not garbled, since they have no clean twin."""
     types = cut(garbled_types(documents))
-    odd = tokens(documents.where(F.col("text").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))).where(F.col("token").rlike(r"[^\x00-\x7f]|\p{L}\?\p{L}"))
+    odd = tokens(documents.where(F.col("text").rlike(r"[^\x00-\x7f]|\p{L}\?{1,3}\p{L}"))).where(F.col("token").rlike(r"[^\x00-\x7f]|\p{L}\?{1,3}\p{L}"))
     hits = odd.join(F.broadcast(types) if fits(types, SHIP_TYPES) else types, "token")
     gone = documents.where(F.contains("text", F.lit("?? ")) | F.contains("text", F.lit("??\n"))).select("doc_id", F.regexp_extract("text", LOST_RUN, 0).alias("token")).where("token <> ''")
     return hits.unionByName(gone.select("doc_id", "token", F.lit("only question marks").alias("chain"), F.lit(None).cast("string").alias("restored"), F.lit(0).alias("rank")))
