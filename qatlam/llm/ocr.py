@@ -3,15 +3,15 @@
 Running headers, footers and page numbers are found at the edges of pages, the headers by their repetition within a book.
 Words broken at line ends are joined, also overleaf. Word types are counted over all pages; each type is looked up in a trie
 of the words that are far more common, by running the Levenshtein automaton of the type (bit-parallel, one word of bits per
-number of errors) along the trie, so that all candidates within the distance come out. Candidates are ranked by what scans
-confuse, then by edits and frequency. Texts are read in streaming passes; only types, edge lines and
-candidates are shuffled.
+number of errors) along the trie, so that all candidates within the distance come out. Where a type has several, those that
+stand beside the same words elsewhere come first, then those that scans confuse, then fewer edits and higher frequency.
+Texts are read in three streaming passes; words, edge lines and candidates are shuffled, and each page gets the corrections
+of its own words.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -25,8 +25,9 @@ from qatlam.runtime import cut, fits, spread
 #: A word is misread if a word within the distance is so many times as common: where scans confuse the two, else in words
 #: of five letters and more.
 RATIO, FAR_RATIO = 5, 40
-#: Word types up to which vocabulary and corrections are sent to all executors; beyond it they go in parts.
-SHIP_TYPES = 1_000_000
+#: Words of the vocabulary that are sent to the executors at once; more go in parts. About 16 bytes a word are sent, and a worker's
+#: trie takes some hundred times as much.
+SHIP_TYPES = 200_000
 EDGE = 3
 
 _APOS = re.compile("[" + APOSTROPHES + "]")
@@ -190,17 +191,13 @@ def confusion(word: str, candidate: str) -> bool:
 
 
 def corrections(word: str, n: int, trie: Trie) -> list[tuple[str, int, int, int]]:
-    """(candidate, count, edits, 0 if scans confuse it so, else 1), best first; none for a word read rightly."""
-    if len(word) < 3 or word.isdigit():
-        return []
+    """(candidate, count, edits, 0 if scans confuse it so, else 1) of all words within one edit, and within two of words of five
+    letters and more, that are so much more common; none for a word read rightly."""
     odd = any(c.isdigit() or c == "|" or ord(c) > 0x24F for c in word)
-    least = (3 if odd else RATIO) * n
-    near = [(w, c, e, 0 if confusion(word, w) else 1) for w, c, e in trie.near(word, 1, least)]
-    near = [x for x in near if odd or x[3] == 0 or (len(word) >= 5 and x[1] >= FAR_RATIO * n)]
-    if not near and len(word) >= 5:
-        near = [(w, c, e, 0 if confusion(word, w) else 1) for w, c, e in trie.near(word, 2, least)]
-        near = [x for x in near if odd or x[3] == 0]
-    return sorted(near, key=lambda x: (x[3], x[2], -x[1], x[0]))
+    if len(word) < (2 if odd else 3) or word.isdigit():
+        return []
+    near = [(w, c, e, 0 if confusion(word, w) else 1) for w, c, e in trie.near(word, 2 if len(word) >= 5 else 1, (3 if odd else RATIO) * n)]
+    return [x for x in near if odd or x[3] == 0 or (x[2] == 1 and len(word) >= 5 and x[1] >= FAR_RATIO * n)]
 
 
 def with_context(pages: DataFrame) -> DataFrame:
@@ -254,32 +251,50 @@ def with_context(pages: DataFrame) -> DataFrame:
     return p.join(heads, ["path", "page"], "left").join(after, ["path", "page"], "left").join(before, ["path", "page"], "left")
 
 
-def _pages(b: pd.DataFrame, compounds: set[str]) -> Iterator[tuple[int, Page]]:
-    for i, t, h, y, x in zip(b["ocr_id"], b["text"], b["headers"], b["beyond"], b["behind"]):
-        yield i, Page(t, [] if h is None else list(h), y if isinstance(y, str) else None, compounds, x if isinstance(x, str) else None)
+def _pages(b: pd.DataFrame) -> Iterator[tuple[int, Page]]:
+    for i, t, h, y, x, c in zip(b["ocr_id"], b["text"], b["headers"], b["beyond"], b["behind"], b["compounds"]):
+        yield i, Page(t, [] if h is None else list(h), y if isinstance(y, str) else None, set() if c is None else set(c), x if isinstance(x, str) else None)
+
+
+def with_compounds(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``compounds``: of the words that may be broken at the ends of a page's lines those that are always written
+    with a hyphen, seen so within lines of at least three pages."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, page in _pages(b.assign(compounds=None)):
+                text = "\n".join(page.lines)
+                rows.extend((i, False, w) for w in {f"{norm(x)}-{norm(y)}" for x, y in _COMPOUND.findall(text) if not x[-1].isdigit()})
+                broken = [*page.broken.values(), *([page.begun] if page.begun else [])]
+                rows.extend((i, True, w) for w in {f"{norm(x)}-{norm(y)}" for x, y in broken})
+            yield pd.DataFrame(rows, columns=["ocr_id", "broken", "word"])
+
+    seen = cut(pages.mapInPandas(run, "ocr_id bigint, broken boolean, word string"))
+    known = seen.where("not broken").groupBy("word").agg(F.count("*").alias("n")).where("n >= 3").select("word")
+    hits = cut(seen.where("broken").join(known, "word", "left_semi").groupBy("ocr_id").agg(F.collect_set("word").alias("compounds")))
+    return pages.join(F.broadcast(hits) if fits(hits, SHIP_TYPES) else hits, "ocr_id", "left")
 
 
-def compound_words(pages: DataFrame) -> DataFrame:
-    """(word): words seen with a hyphen within lines of at least three pages."""
+def page_words(pages: DataFrame) -> DataFrame:
+    """(ocr_id, words, begun): the words of each page in order in one spelling, and the word begun on the page before."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            c: Counter[str] = Counter()
-            for t in b["text"]:
-                c.update({f"{norm(x)}-{norm(y)}" for x, y in _COMPOUND.findall(t) if not x[-1].isdigit()})
-            yield pd.DataFrame(list(c.items()), columns=["word", "n"])
+            rows = [(i, [w for w in (norm(w) for _, _, w in p.words()) if w], norm("".join(p.begun)) if p.begun else None) for i, p in _pages(b)]
+            yield pd.DataFrame(rows, columns=["ocr_id", "words", "begun"])
 
-    return pages.select("text").mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where("n >= 3").select("word")
+    return pages.mapInPandas(run, "ocr_id bigint, words array<string>, begun string")
 
 
 def misread_types(types: DataFrame) -> DataFrame:
-    """(word, candidate, n, edits, odd, rank) of all types taken as misread, with all their candidates. The vocabulary is the
-    types common enough to correct any other; it goes to the executors in parts of SHIP_TYPES words."""
+    """(word, candidate, n, edits, odd) of all types taken as misread, with all their candidates. The vocabulary is the
+    types common enough to correct any other; it goes to the executors in parts of SHIP_TYPES words, whose candidates add up."""
     vocabulary = cut(types.where((F.col("n") >= 3) & ~F.col("word").rlike(r"\d|\|")))
-    parts = [vocabulary] if fits(vocabulary, SHIP_TYPES) else [vocabulary.where(F.pmod(F.xxhash64("word"), F.lit(k)) == i) for k in [vocabulary.count() // SHIP_TYPES + 1] for i in range(k)]
+    k = vocabulary.count() // SHIP_TYPES + 1
     out = None
-    for part in parts:
-        trie = types.sparkSession.sparkContext.broadcast([(r["word"], r["n"]) for r in part.collect()])
+    for i in range(k):
+        trie = types.sparkSession.sparkContext.broadcast([(r["word"], r["n"]) for r in vocabulary.where(F.pmod(F.xxhash64("word"), F.lit(k)) == i).collect()])
 
         def run(batches: Iterator[pd.DataFrame], words=trie) -> Iterator[pd.DataFrame]:
             t = Trie(words.value)
@@ -289,117 +304,93 @@ def misread_types(types: DataFrame) -> DataFrame:
 
         found = spread(types, "word").mapInPandas(run, "word string, candidate string, n bigint, edits int, odd int")
         out = found if out is None else out.unionByName(found)
-    w = Window.partitionBy("word").orderBy("odd", "edits", F.desc("n"), "candidate")
-    return out.withColumn("rank", F.row_number().over(w))
+    return out
+
+
+def page_fixes(words: DataFrame, misread: DataFrame) -> DataFrame:
+    """(ocr_id, fixes): of each page a map from its misread words to their candidates. Of several candidates the one comes first
+    that stands most often beside the words that stand beside the misread one on the page."""
+    rank = F.row_number().over(Window.partitionBy("word").orderBy("odd", "edits", F.desc("n"), "candidate"))
+    ranked = cut(misread.withColumn("rank", rank).withColumn("several", F.count("*").over(Window.partitionBy("word")) > 1))
+    ids = ranked.select("word", "several").distinct()
+    ids = F.broadcast(ids) if fits(ids, SHIP_TYPES) else ids
+    all_ = F.concat(F.array(F.lit("")), "words", F.array(F.lit("")), F.when(F.col("begun").isNotNull(), F.array("begun", F.lit(""))).otherwise(F.array()))
+    at = words.select("ocr_id", F.posexplode(all_).alias("pos", "word"), all_.alias("_all")).where("word <> ''").join(ids, "word")
+    beside = F.array(F.get("_all", F.col("pos") - 1), F.get("_all", F.col("pos") + 1))
+    at = cut(at.select("ocr_id", "word", "several", beside.alias("beside")))
+    # pairs of neighbours that decide between candidates, counted over all pages
+    cases = at.where("several").select("ocr_id", "word", F.posexplode("beside").alias("side", "by")).where("by <> ''").join(ranked.select("word", "candidate"), "word")
+    pair = F.when(F.col("side") == 0, F.concat_ws(" ", "by", "candidate")).otherwise(F.concat_ws(" ", "candidate", "by"))
+    cases = cut(cases.select("ocr_id", "word", "candidate", pair.alias("pair")))
+    pairs = words.select(F.explode(F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", 2, 1 << 30), lambda a, b: F.concat_ws(" ", a, b))).alias("pair"))
+    counts = pairs.join(cases.select("pair").distinct(), "pair", "left_semi").groupBy("pair").agg(F.count("*").alias("times"))
+    score = cases.join(counts, "pair", "left").groupBy("ocr_id", "word", "candidate").agg(F.coalesce(F.sum("times"), F.lit(0)).alias("score"))
+    pages = at.select("ocr_id", "word").distinct().join(ranked, "word").join(score, ["ocr_id", "word", "candidate"], "left")
+    best = pages.groupBy("ocr_id", "word").agg(F.max(F.struct(F.coalesce("score", F.lit(0)).alias("score"), (-F.col("rank")).alias("rank"), "candidate")).alias("b"))
+    return best.groupBy("ocr_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "b.candidate"))).alias("fixes"))
 
 
 class Repaired:
-    """The stages up to the corrections, shared by the queries on findings and on text."""
+    """The stages up to the corrections, shared by the queries on findings and on text. A page's row holds what it needs of
+    others: its headers, its neighbours' lines, its compounds and its words' corrections."""
 
     def __init__(self, pages: DataFrame):
-        self.pages = cut(with_context(pages))
-        rows = compound_words(self.pages)
-        if not fits(rows, SHIP_TYPES):
-            raise ValueError("more hyphenated words than SHIP_TYPES: raise it together with the executors' memory")
-        self.compounds = pages.sparkSession.sparkContext.broadcast({r["word"] for r in rows.collect()})
-        self.types = cut(word_types(self.pages, self.compounds))
-        self.misread = cut(misread_types(self.types))
-        best = self.misread.where("rank = 1").select("word", "candidate")
-        n = 1 if fits(best, SHIP_TYPES) else best.count() // SHIP_TYPES + 1
-        #: The corrections in parts that fit the executors; each part makes its own pass.
-        self.best = [pages.sparkSession.sparkContext.broadcast({r["word"]: r["candidate"] for r in best.where(F.pmod(F.xxhash64("word"), F.lit(n)) == k).collect()}) for k in range(n)]
+        p = cut(with_compounds(cut(with_context(pages))))
+        words = cut(page_words(p))
+        types = words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+        self.misread = cut(misread_types(cut(types)))
+        self.pages = p.join(page_fixes(words, self.misread), "ocr_id", "left")
 
     def findings(self) -> DataFrame:
         """(ocr_id, line_no, kind); a line that is furniture has no other kind."""
-        compounds, out = self.compounds, None
-        for k, best in enumerate(self.best):
-            part = self.pages.mapInPandas(lambda bs, best=best, first=k == 0: Repaired._find(bs, compounds, best, first), "ocr_id bigint, line_no bigint, kind string")
-            out = part if out is None else out.unionByName(part)
-        return out if len(self.best) == 1 else out.distinct()
+        return self.pages.mapInPandas(Repaired._find, "ocr_id bigint, line_no bigint, kind string")
 
     @staticmethod
-    def _find(batches: Iterator[pd.DataFrame], compounds, best, first: bool) -> Iterator[pd.DataFrame]:
+    def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for i, page in _pages(b, compounds.value):
-                if first:
-                    rows.extend((i, n, "furniture") for n in page.furniture)
-                    rows.extend((i, n, "broken_word") for n in page.broken)
+            for (i, page), fixes in zip(_pages(b), b["fixes"]):
+                best = _dict(fixes)
+                rows.extend((i, n, "furniture") for n in page.furniture)
+                rows.extend((i, n, "broken_word") for n in page.broken)
                 bad = set()
-                words = [*page.words()]
+                words = [*page.words()] if best else []
                 if page.begun:
                     words.append((-1, page.body[0], "".join(page.begun)))
                 for n, m, w in words:
-                    fix = best.value.get(norm(w))
-                    if fix is None and not _fused(w):
+                    fix = best.get(norm(w))
+                    if fix is None:
                         continue
                     if m == -1:
                         bad.add(n)
                         continue
                     # which part of a broken word is wrong
                     head = page.broken[n][0] if n >= 0 else page.begun[0]
-                    at = _wrong_at(w, fix)
-                    if at < len(norm(head)):
-                        bad.add(n)
-                    else:
-                        bad.add(m)
-                bad -= {-1, -2}
-                rows.extend((i, n, "misread") for n in bad)
+                    bad.add(n if _wrong_at(w, fix) < len(norm(head)) else m)
+                rows.extend((i, n, "misread") for n in bad - {-1, -2})
             yield pd.DataFrame(rows, columns=["ocr_id", "line_no", "kind"])
 
     def text(self) -> DataFrame:
         """(ocr_id, path, page, paragraphs): the page as paragraphs without furniture, with words joined and corrected."""
-        compounds, best = self.compounds, self.best[0]
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                rows = []
-                for (i, page), p, q in zip(_pages(b, compounds.value), b["path"], b["page"]):
-                    rows.append((i, p, q, reflow(page, best.value)))
+                rows = [(i, p, q, reflow(page, _dict(f))) for (i, page), p, q, f in zip(_pages(b), b["path"], b["page"], b["fixes"])]
                 yield pd.DataFrame(rows, columns=["ocr_id", "path", "page", "paragraphs"])
 
-        schema = "ocr_id bigint, path string, page int, paragraphs array<string>"
-        out = self.pages.mapInPandas(run, schema)
-        for more in self.best[1:]:
-
-            def again(batches: Iterator[pd.DataFrame], more=more) -> Iterator[pd.DataFrame]:
-                for b in batches:
-                    fixed = [[_WORD.sub(lambda m: _fixed(m.group(0), more.value), x) for x in p] for p in b["paragraphs"]]
-                    yield b.assign(paragraphs=fixed)
-
-            out = out.mapInPandas(again, schema)
-        return out
+        return self.pages.mapInPandas(run, "ocr_id bigint, path string, page int, paragraphs array<string>")
 
 
-def word_types(pages: DataFrame, compounds) -> DataFrame:
-    """(word, n) of all words of the texts, counted within batches before the shuffle."""
+def _dict(fixes) -> dict[str, str]:
+    return {} if fixes is None else dict(fixes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            c: Counter[str] = Counter()
-            for _, page in _pages(b, compounds.value):
-                c.update(norm(w) for _, _, w in page.words())
-            yield pd.DataFrame([(w, n) for w, n in c.items() if w], columns=["word", "n"])
 
-    return pages.mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _wrong_at(word: str, fix: str | None) -> int:
-    """Where the misread word first differs from its correction, or, without one, where its strange letter stands."""
+def _wrong_at(word: str, fix: str) -> int:
+    """Where the misread word first differs from its correction."""
     w = norm(word)
-    if fix is None:
-        return next((k for k, c in enumerate(w) if c.isdigit() or c == "|" or ord(c) > 0x24F), 0)
     return next((k for k, (x, y) in enumerate(zip(w, fix)) if x != y), min(len(w), len(fix)) - 1)
 
 
-def _fused(word: str) -> bool:
-    """A word of letters with digits or letters of another script in it."""
-    letters = sum(c.isalpha() for c in word)
-    latin = sum(c.isascii() and c.isalpha() for c in word)
-    other = sum("Ѐ" <= c <= "ӿ" for c in word)
-    return letters >= 3 and ((any(c.isdigit() or c == "|" for c in word) and not word[0].isdigit()) or (latin > 0 and other > 0))
-
-
 def _fixed(word: str, best: dict[str, str]) -> str:
     fix = best.get(norm(word))
     if fix is None:

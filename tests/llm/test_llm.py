@@ -511,15 +511,45 @@ def test_no_query_needs_a_session_to_be_listed():
     assert json.dumps(sorted(queries.QUERIES)) and {f"p{n}_found" for n in (1, 2, 3, 5, 6, 7, 9, 10)} <= set(queries.QUERIES)
 
 
-def test_ocr_corrections_in_parts(spark, monkeypatch):
+def test_ocr_vocabulary_in_parts(spark, monkeypatch):
     good = "shahar kitob maktab bilan daraxt uchun yangi katta"
     data = [("b0", i, "\n".join([good] * 8)) for i in range(1, 9)] + [("b0", 9, "shahаr kit0b mаktab bi1an dаraxt\nkatta yan-"), ("b0", 10, "gi shahar.")]
     df = spark.createDataFrame([(i, *x) for i, x in enumerate(data)], "ocr_id long, path string, page int, text string")
     whole = ocr.Repaired(df)
     want = rows(whole.findings()), rows(whole.text(), "ocr_id", "paragraphs")
-    r = ocr.Repaired(df)
-    words = whole.best[0].value
-    assert len(words) >= 4
-    r.best = [spark.sparkContext.broadcast({w: c for k, (w, c) in enumerate(sorted(words.items())) if k % 3 == i}) for i in range(3)]
-    assert (rows(r.findings()), rows(r.text(), "ocr_id", "paragraphs")) == want
+    monkeypatch.setattr(ocr, "SHIP_TYPES", 3)
+    parts = ocr.Repaired(df)
+    assert rows(parts.misread) == rows(whole.misread) and (rows(parts.findings()), rows(parts.text(), "ocr_id", "paragraphs")) == want
     assert dict(want[1])[8] == ["shahar kitob maktab bilan daraxt katta yangi"]
+
+
+def test_ocr_candidates_are_complete():
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, last = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+        return row[-1]
+
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abo'") for _ in range(rng.randint(1, 8))) for _ in range(120)})
+    trie = ocr.Trie([(w, 10 + len(w)) for w in words])
+    for w in words[::3] + ["bab0ab", "ob", "aaaaaaaa"]:
+        for k in (1, 2):
+            assert {(c, e) for c, _, e in trie.near(w, k, 12)} == {(c, d) for c in words if len(c) >= 2 and 0 < (d := distance(w, c)) <= k}
+
+
+def test_ocr_context_chooses_among_candidates(spark):
+    # "h" and "b" are confused: the same misread word is "bar" or "har" by the words beside it
+    lines = ["yangi bar joy", "eski har kuni"] * 12
+    edge = lambda i: "\n".join(chr(97 + i * 2 + k % 2) * (5 + 4 * k) for k in range(3))
+    data = [(i, "b0", i, "\n".join([edge(i), *lines, edge(i + 10)])) for i in range(2)]
+    data += [(8, "b0", 8, f"{edge(4)}\nyangi 6ar joy\n{edge(5)}"), (9, "b0", 9, f"{edge(6)}\neski 6ar kuni\n{edge(7)}")]
+    pages = spark.createDataFrame(data, "ocr_id long, path string, page int, text string")
+    r = ocr.Repaired(pages)
+    words = ocr.page_words(r.pages)
+    two = spark.createDataFrame([("6ar", "bar", 9, 1, 0), ("6ar", "har", 9, 1, 0)], "word string, candidate string, n long, edits int, odd int")
+    assert {x.ocr_id: dict(x.fixes) for x in ocr.page_fixes(words, two).collect()} == {8: {"6ar": "bar"}, 9: {"6ar": "har"}}
+    assert rows(ocr.Repaired(pages.where("ocr_id > 99")).findings()) == []
+
