@@ -96,6 +96,16 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return page_furniture(table(spark, d, "candidates"), table(spark, d, "pages"))
 
 
+@query("p3_body")
+def p3_body(spark: SparkSession, d: str) -> DataFrame:
+    """Every candidate's text without its furniture lines."""
+    from qatlam.llm.mainbody import page_furniture
+    from qatlam.llm.sitelines import without_lines
+
+    candidates = table(spark, d, "candidates").select("page_id", "candidate_id", "text")
+    return without_lines(candidates, page_furniture(candidates, table(spark, d, "pages"))).select("page_id", "candidate_id", "clean_text")
+
+
 @query("p10_found")
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     from qatlam.llm.mojibake import found, garbled

@@ -130,6 +130,10 @@ def test_shared_is_a_longest_common_subsequence():
         a, b = [[rng.randrange(6) for _ in range(rng.randrange(12))] for _ in range(2)]
         s = mainbody.shared(a, b)
         assert len(s) == brute(a, b) and all(a[i] in b for i in s)
+        it = iter(b)
+        assert all(a[i] in it for i in sorted(s))
+    long = list(range(1, 5001))
+    assert len(mainbody.shared(long, long[::2] + long[1::2])) == 2501
 
 
 def test_page_furniture(spark):
@@ -139,6 +143,8 @@ def test_page_furniture(spark):
     c = spark.createDataFrame(data + [(0, "c2", None), (1, "c2", "")], "page_id long, candidate_id string, text string")
     got = rows(mainbody.page_furniture(c, pages_of(spark, 6)), "page_id", "candidate_id", "line_no")
     assert got == sorted((i, "c1", n) for i in range(6) for n in (0, 1, 5, 6))
+    body_only = {(r.page_id, r.candidate_id): r.clean_text for r in sitelines.without_lines(c, mainbody.page_furniture(c, pages_of(spark, 6))).collect()}
+    assert body_only[0, "c1"].split("\n")[0] == "Sarlavha abv" and len(body_only[0, "c1"].split("\n")) == 3 and body_only[0, "c2"] is None and body_only[1, "c2"] == ""
     assert mainbody.page_furniture(c.where("page_id > 50"), pages_of(spark, 6)).count() == 0
 
 
