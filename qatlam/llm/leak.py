@@ -1,9 +1,10 @@
 """Evaluation passages inside training documents (problem 9).
 
-A prefix-filtered set join. An item is the set of its four-word shingles. A window of ``WINDOW`` item words of which
-at most ``MISSES`` are changed or missing keeps at least ``OVERLAP`` of its shingles, so a document that holds the
-window holds one of the window's ``PREFIX`` rarest shingles: only these are joined. Positional and length bounds then
-discard most meetings, and an exact alignment over windows of item size decides.
+A prefix-filtered set join. An item is the set of its four-word shingles. A window of 14 item words of which at most two are
+changed or missing, or of 21 words and three, keeps so many of its shingles that a document that holds the window holds one of
+the window's rarest ones, as many as may be broken and one more: only these are joined. (Longer stretches with one word in
+seven changed hold such a window.) Positional and length bounds then discard most meetings, and an exact alignment over
+windows of item size decides.
 """
 
 from __future__ import annotations
@@ -18,32 +19,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qatlam.llm.fold import words
+from qatlam.runtime import cut
 
-WINDOW = 14
-MISSES = 2  # one in seven of WINDOW words
-SIZE = 4  # words in a shingle
-SHINGLES = WINDOW - SIZE + 1
-OVERLAP = SHINGLES - MISSES * SIZE  # each miss breaks at most SIZE shingles
-PREFIX = SHINGLES - OVERLAP + 1
-#: Items are shipped to the executors while they have no more words than this; beyond it they are joined by shuffle.
+#: Words of a window and how many of them, one in seven, may be changed or missing.
+SHAPES = ((14, 2), (21, 3))
+WINDOW, MISSES = SHAPES[-1]
+SIZE = 4  # words in a shingle; each miss breaks at most so many
+#: Words of the items that are shipped to the executors at once; more go in parts, each of which passes over the documents.
 SHIP_WORDS = 2_000_000
+#: Meetings that are compared at once, in words of the longest item.
+CELLS = 4_000_000
 
 _OPTIONS = re.compile(r"\s[AАaа]\)\s")
 _TASK = re.compile(r"^[^:?.!]{3,120}[:?]\s")
 
 
+def head_of(text: str | None) -> tuple[str | None, int]:
+    """The leading clause that ends in a colon or a question mark, folded, and where it ends."""
+    m = _TASK.match(text or "")
+    return (" ".join(words(m.group(0))), m.end()) if m else (None, 0)
+
+
+def with_shared(items: DataFrame) -> DataFrame:
+    """(item_id, text, shared): whether at least two items of all begin with the same clause (in any script)."""
+
+    @F.pandas_udf("string")
+    def head(texts: pd.Series) -> pd.Series:
+        return pd.Series([head_of(t)[0] for t in texts], dtype=object)
+
+    h = items.select("item_id", "text", head("text").alias("head"))
+    more = h.where("head is not null").groupBy("head").agg(F.count("*").alias("n")).where("n > 1").select("head", F.lit(True).alias("shared"))
+    return h.join(more, "head", "left").select("item_id", "text", F.coalesce("shared", F.lit(False)).alias("shared"))
+
+
 def passages(items: pd.DataFrame) -> pd.DataFrame:
-    """Item passages without task lines and answer options. A leading clause that ends in a colon or a question mark
-    is a task line when at least two items share it (in any script)."""
-    texts = items["text"].fillna("").tolist()
-    heads = []
-    for t in texts:
-        m = _TASK.match(t)
-        heads.append((" ".join(words(m.group(0))), m.end()) if m else (None, 0))
-    shared = Counter(h for h, _ in heads if h)
+    """Item passages without task lines (leading clauses that are ``shared``) and answer options."""
     out = []
-    for t, (h, end) in zip(texts, heads):
-        body = t[end:] if h and shared[h] > 1 else t
+    for t, shared in zip(items["text"].fillna(""), items["shared"]):
+        body = t[head_of(t)[1] :] if shared else t
         cut = list(_OPTIONS.finditer(body))
         out.append(body[: cut[-1].start()] if cut else body)
     return pd.DataFrame({"item_id": items["item_id"], "body": out})
@@ -63,9 +76,11 @@ class Items:
         rarity = Counter(int(k) for ks in keys for k in ks)
         rows: set[tuple[int, int, int]] = set()
         for n, ks in enumerate(keys):
-            for s in range(max(0, len(self.lists[n]) - WINDOW + 1)):
-                window = sorted(range(s, s + SHINGLES), key=lambda i: (rarity[int(ks[i])], int(ks[i])))
-                rows.update((int(ks[i]), n, i) for i in window[:PREFIX])
+            for window, misses in SHAPES:
+                many = window - SIZE + 1
+                for s in range(max(0, len(self.lists[n]) - window + 1)):
+                    order = sorted(range(s, s + many), key=lambda i: (rarity[int(ks[i])], int(ks[i])))
+                    rows.update((int(ks[i]), n, i) for i in order[: misses * SIZE + 1])
         table = np.array(sorted(rows), dtype=np.int64).reshape(-1, 3)
         self.key, self.item, self.at = table[:, 0], table[:, 1], table[:, 2]
         pad = max((len(c) for c in self.lists), default=0) + 4 * WINDOW
@@ -90,29 +105,30 @@ class Items:
 
 
 def _aligned(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether a window of WINDOW words of ``a`` has all but MISSES of them, in order, in a stretch of ``b`` that is no
-    longer than the window and its misses."""
-    need = WINDOW - MISSES
-    for s in range(len(a) - WINDOW + 1):
-        w = a[s : s + WINDOW]
-        if np.isin(w, b).sum() < need:
-            continue
-        for t in range(max(1, len(b) - need + 1)):
-            seg = b[t : t + WINDOW + MISSES]
-            if len(seg) < need:
-                break
-            row = np.zeros(len(seg) + 1, dtype=np.int64)
-            for x in w:
-                nxt = np.maximum(row[1:], row[:-1] + (seg == x))
-                row = np.concatenate(([0], np.maximum.accumulate(nxt)))
-            if row[-1] >= need:
-                return True
+    """Whether a window of ``a`` has all but its misses, in order, in a stretch of ``b`` that is no longer than the window and
+    its misses."""
+    for window, misses in SHAPES:
+        need = window - misses
+        for s in range(len(a) - window + 1):
+            w = a[s : s + window]
+            if np.isin(w, b).sum() < need:
+                continue
+            for t in range(max(1, len(b) - need + 1)):
+                seg = b[t : t + window + misses]
+                if len(seg) < need:
+                    break
+                row = np.zeros(len(seg) + 1, dtype=np.int64)
+                for x in w:
+                    nxt = np.maximum(row[1:], row[:-1] + (seg == x))
+                    row = np.concatenate(([0], np.maximum.accumulate(nxt)))
+                if row[-1] >= need:
+                    return True
     return False
 
 
 def _near(index: Items, codes: np.ndarray, hit: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positional bound, vectorised: around each meeting, words of the item that also stand within MISSES places of
-    their diagonal in the document; a window can only match where WINDOW - MISSES of them do. The second result tells
+    their diagonal in the document; a window can only match where all but its misses do. The second result tells
     where they all stand on the diagonal itself, which already is a match."""
     span = np.arange(-WINDOW, WINDOW + SIZE)
     rows = index.padded[index.item[entry]]
@@ -122,7 +138,7 @@ def _near(index: Items, codes: np.ndarray, hit: np.ndarray, entry: np.ndarray) -
 
     def dense(seen: np.ndarray) -> np.ndarray:
         c = np.concatenate([np.zeros((len(seen), 1), dtype=np.int64), np.cumsum(seen & (mine >= 0), axis=1)], axis=1)
-        return (c[:, WINDOW:] - c[:, :-WINDOW]).max(axis=1) >= WINDOW - MISSES
+        return np.any([(c[:, w:] - c[:, :-w]).max(axis=1) >= w - m for w, m in SHAPES], axis=0)
 
     straight = codes[there] == mine
     seen = straight.copy()
@@ -150,8 +166,9 @@ def _matches(index: Items, ids: np.ndarray, texts: list[str | None]) -> tuple[li
     found_item: list[int] = []
     done: set[tuple[int, int]] = set()
     offsets = np.array(bounds)
-    for lo in range(0, len(pos), 20_000):
-        part = pos[lo : lo + 20_000]
+    step = max(1, CELLS // index.padded.shape[1]) if len(index.ids) else 1
+    for lo in range(0, len(pos), step):
+        part = pos[lo : lo + step]
         hit = np.repeat(part, count[part])
         within = np.arange(len(hit)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
         entry = first[hit] + within
@@ -179,15 +196,12 @@ def leaked(documents: DataFrame, items: DataFrame, ship_words: int = SHIP_WORDS)
     item set is cut into parts of that size, each of which passes over the documents.
     """
     spark = documents.sparkSession
-    size = items.select(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] / 5
-    if size <= ship_words:
-        parts = [items]
-    else:
-        n = int(size // ship_words) + 1
-        parts = [items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k) for k in range(n)]
+    known = cut(with_shared(items))
+    n = int(known.select(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] / 5 // ship_words) + 1
     out = None
-    for part in parts:
-        index = spark.sparkContext.broadcast(Items(passages(part.select("item_id", "text").toPandas())))
+    for k in range(n):
+        part = known.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+        index = spark.sparkContext.broadcast(Items(passages(part.toPandas())))
 
         def run(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             for b in batches:

@@ -425,7 +425,7 @@ def test_history_in_batches_equals_all_at_once(spark, tmp_path):
 
 def test_leaks_by_brute_force(spark):
     items = read(spark, "benchmark").toPandas()
-    body = {i: fold.words(t) for i, t in zip(items["item_id"], leak.passages(items)["body"])}
+    body = {i: fold.words(t) for i, t in zip(items["item_id"], leak.passages(leak.with_shared(read(spark, "benchmark")).toPandas().set_index("item_id").loc[items["item_id"]].reset_index())["body"])}
     docs = read(spark, "documents").where("text is not null").orderBy("doc_id").limit(250)
     want = set()
     for r in docs.collect():
@@ -444,6 +444,18 @@ def test_leaks_by_brute_force(spark):
     assert want <= got and len(got - want) <= max(2, len(got) // 10)
 
 
+def test_leak_of_three_words_in_twenty_one(spark):
+    words = [f"so{chr(97 + i)}z" for i in range(25)]
+    item = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    filler = ["boshqa"] * 30
+    for gone in ((7, 10, 13), (8, 11, 12)):
+        text = [x for x in words[:21]]
+        for g in gone:
+            text[g] = "xato"
+        d = spark.createDataFrame([(1, " ".join(filler + text + filler)), (2, " ".join(filler + text[:20] + filler)), (3, " ".join(filler + [w for i, w in enumerate(words[:21]) if i not in gone] + filler))], "doc_id long, text string")
+        assert rows(leak.leaked(d, item)) == [(1, 1), (3, 1)]
+
+
 def test_leak_cases(spark):
     p = "Oltin vodiyda yashovchi qadimgi ustalar har bahorda yangi ko'prik qurib daryo bo'yida katta bayram o'tkazib mehmonlarni kutishgan edi".split()
     item = "Savolga javob bering: " + " ".join(p) + " A) bir B) ikki"
