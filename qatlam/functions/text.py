@@ -26,6 +26,7 @@ INVISIBLE = "​‌‍﻿­"
 #: Edit links that wikis leave in headings.
 WIKI_EDIT = ["manbasini tahrirlash", "tahrirlash", "tahrir", "edit", "изменить", "редактировать"]
 
+#: Patterns of page numbers, bylines, addresses and phone numbers.
 PAGE_NUMBER = r"(?i)^[-–—\s]*[0-9]{1,4}[-–—\s]*(bet)?[-–—\s]*$"
 BYLINE = r"(?i)^(mas'ul\s+)?(muallif(i)?|muharrir(i)?|tuzuvchi(si)?|tahrir(chi)?(si)?|tarjimon(i)?)\s*:\s*\S.*$"
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
@@ -170,12 +171,15 @@ def corrected(line: Column, fixes: Column) -> Column:
     return F.array_join(F.transform(F.filter(F.split(line, rf"{SPACE}+"), lambda t: t != ""), one), " ")
 
 
-def token_estimate(c: Column, chars_per_token: float = 4.0) -> Column:
-    """0 for an empty text, else at least 1; halves round to even."""
+def token_count(n_chars: Column, chars_per_token: float = 4.0) -> Column:
+    """Estimate from a number of characters: 0 for none, else at least 1; halves round to even."""
     if chars_per_token <= 0:
         raise ValueError("chars_per_token must be positive")
-    n = F.length(c)
-    return F.when(n == 0, 0).when(n > 0, F.greatest(F.lit(1), F.bround(n / F.lit(chars_per_token)))).cast("bigint")
+    return F.when(n_chars == 0, 0).when(n_chars > 0, F.greatest(F.lit(1), F.bround(n_chars / F.lit(chars_per_token)))).cast("bigint")
+
+
+def token_estimate(c: Column, chars_per_token: float = 4.0) -> Column:
+    return token_count(F.length(c), chars_per_token)
 
 
 def clean_lines(c: Column) -> Column:

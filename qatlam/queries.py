@@ -13,7 +13,7 @@ from qatlam.functions import text as T
 from qatlam.functions import urls as U
 from qatlam.operators import dedup, ledger, ordered, spelling, web
 from qatlam.plans import clean
-from qatlam.runtime import table
+from qatlam.runtime import table, widened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,7 +38,7 @@ def col(name: str = "text"):
 
 @query("transliterate", f"SELECT doc_id, {S.to_latin('text')} AS latin FROM documents WHERE text IS NOT NULL")
 def transliterate(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", T.to_latin(col()).alias("latin"))
+    return widened(table(spark, d, "documents").select("doc_id", "text").where("text is not null")).select("doc_id", T.to_latin(col()).alias("latin"))
 
 
 @query("strip_garbage", f"SELECT block_id, {S.strip_garbage('text')} AS kept FROM blocks WHERE text IS NOT NULL")
@@ -48,18 +48,18 @@ def strip_garbage(spark, d):
 
 @query("normalize_text", f"SELECT doc_id, {S.normalized('text')} AS normal FROM documents WHERE text IS NOT NULL")
 def normalize_text(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", T.normalized(col()).alias("normal"))
+    return widened(table(spark, d, "documents").select("doc_id", "text").where("text is not null")).select("doc_id", T.normalized(col()).alias("normal"))
 
 
 @query("wiki_edit_links", f"SELECT doc_id, {S.normalized(chr(39) + 'Tarix[tahrirlash | manbasini tahrirlash] ' + chr(39) + ' || text')} AS normal FROM documents WHERE text IS NOT NULL")
 def wiki_edit_links(spark, d):
     t = F.concat(F.lit("Tarix[tahrirlash | manbasini tahrirlash] "), "text")
-    return table(spark, d, "documents").where("text is not null").select("doc_id", T.normalized(t).alias("normal"))
+    return widened(table(spark, d, "documents").select("doc_id", "text").where("text is not null")).select("doc_id", T.normalized(t).alias("normal"))
 
 
 @query("content_hash", f"SELECT doc_id, sha1({S.dedup_form('text')}) AS hash, sha256(text) AS sha FROM documents WHERE text IS NOT NULL")
 def content_hash(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", T.content_hash(col()).alias("hash"), F.sha2("text", 256).alias("sha"))
+    return widened(table(spark, d, "documents").select("doc_id", "text").where("text is not null")).select("doc_id", T.content_hash(col()).alias("hash"), F.sha2("text", 256).alias("sha"))
 
 
 PII = "text || ' +998 90 123 45 ' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || ' a' || doc_id || '@pochta.example'"
@@ -164,17 +164,18 @@ def paragraphs(spark, d):
 @query("language_score", f"SELECT block_id, round({S.language_score('text')}, 6) AS score, ({S.language_score('text')}) >= 0.20 AS is_uzbek FROM blocks WHERE text IS NOT NULL")
 def language_score(spark, d):
     s = Q.language_score(col())
-    return table(spark, d, "blocks").where("text is not null").select("block_id", F.round(s, 6).alias("score"), Q.is_uzbek(s).alias("is_uzbek"))
+    return widened(table(spark, d, "blocks").select("block_id", "text").where("text is not null")).select("block_id", F.round(s, 6).alias("score"), Q.is_uzbek(s).alias("is_uzbek"))
 
 
 @query("quality_reasons", f"SELECT block_id, {S.quality_reason('text')} AS reason FROM blocks WHERE text IS NOT NULL")
 def quality_reasons(spark, d):
-    return table(spark, d, "blocks").where("text is not null").select("block_id", Q.quality_reason(col()).alias("reason"))
+    return widened(table(spark, d, "blocks").select("block_id", "text").where("text is not null")).select("block_id", Q.quality_reason(col()).alias("reason"))
 
 
 @query("quality_histogram", f"SELECT coalesce(lang, '') AS lang, coalesce({S.quality_reason('text')}, 'kept') AS reason, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1, 2")
 def quality_histogram(spark, d):
-    x = table(spark, d, "documents").where("text is not null").select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce(Q.quality_reason(col()), F.lit("kept")).alias("reason"))
+    x = widened(table(spark, d, "documents").where("text is not null").select("lang", "text"))
+    x = x.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce(Q.quality_reason(col()), F.lit("kept")).alias("reason"))
     return x.groupBy("lang", "reason").agg(F.count("*").alias("n"))
 
 
@@ -223,11 +224,19 @@ def clean_funnel(spark, d):
     S.FUNNEL
     + """, t AS (SELECT path, coalesce(string_agg(clean_text, chr(10) || chr(10) ORDER BY block_idx) FILTER (drop_reason IS NULL), '') AS kept_text,
 count(*) AS total_blocks, count(*) FILTER (drop_reason IS NULL) AS kept_blocks FROM funnel GROUP BY path)
-SELECT path, kept_text, length(kept_text) AS char_count, CAST(CASE WHEN kept_text = '' THEN 0 ELSE greatest(1, round_even(length(kept_text) / 4.0, 0)) END AS BIGINT) AS estimated_tokens,
-total_blocks, kept_blocks, total_blocks - kept_blocks AS dropped_blocks FROM t""",
+SELECT path, length(kept_text) AS char_count, CAST(CASE WHEN kept_text = '' THEN 0 ELSE greatest(1, round_even(length(kept_text) / 4.0, 0)) END AS BIGINT) AS estimated_tokens,
+total_blocks, kept_blocks, total_blocks - kept_blocks AS dropped_blocks, round((total_blocks - kept_blocks) / total_blocks * 100, 2) AS dropped_pct FROM t""",
 )
 def doc_report(spark, d):
-    return clean.documents(clean.cleaned(table(spark, d, "blocks")))
+    return clean.reports(clean.cleaned(table(spark, d, "blocks")))
+
+
+@query(
+    "clean_documents",
+    S.FUNNEL + "SELECT path, 0 AS part, string_agg(clean_text, chr(10) || chr(10) ORDER BY block_idx) AS kept_text FROM funnel WHERE drop_reason IS NULL GROUP BY path",
+)
+def clean_documents(spark, d):
+    return clean.documents(clean.cleaned(table(spark, d, "blocks")), 1 << 40)
 
 
 @query("reject_reasons", S.FUNNEL + "SELECT drop_reason AS reason, count(*) AS n FROM funnel WHERE drop_reason IS NOT NULL GROUP BY 1")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,17 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder in which lineage is cut. The cluster's ``spark.checkpoint.dir`` wins; only a
-    session that names none (tests, local runs) gets a temporary folder."""
+    """The folder in which lineage is cut: the cluster's ``spark.checkpoint.dir``, or what the session has set. A local session
+    that names none gets a folder below the working directory; on a cluster a folder of one machine would be lost with it, so
+    there one must be named."""
     sc = spark.sparkContext
     named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(named)
-        return named
-    own = os.path.join(tempfile.gettempdir(), "qatlam-checkpoints")
-    sc.setCheckpointDir(own)
-    return own
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = os.path.abspath("spark-checkpoints")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named)
+    return named
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -41,3 +41,9 @@ def fits(df: DataFrame, rows: int) -> bool:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Over all shuffle partitions, however few bytes there are: for rows that cost much work each."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def widened(scan: DataFrame) -> DataFrame:
+    """A scan, with narrow steps at most, over all shuffle partitions if it has so few splits that cores would idle; a scan of
+    many splits stays as it is and is not shuffled."""
+    return scan if scan.rdd.getNumPartitions() * 2 >= scan.sparkSession.sparkContext.defaultParallelism else spread(scan)
