@@ -171,6 +171,31 @@ def corrected(line: Column, fixes: Column) -> Column:
     return F.array_join(F.transform(F.filter(F.split(line, rf"{SPACE}+"), lambda t: t != ""), one), " ")
 
 
+def corrected_text(c: Column, fixes: Column) -> Column:
+    """``corrected`` line by line."""
+    return F.array_join(F.transform(F.split(c, "\n"), lambda x: corrected(x, fixes)), "\n")
+
+
+def paragraphs(c: Column) -> Column:
+    """The paragraphs of a plain text: what stands between blank lines, trimmed, without empty ones."""
+    return F.filter(F.transform(F.split(c, "\n\n"), stripped), lambda x: x != "")
+
+
+def _letters(c: Column) -> Column:
+    return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}_]+", "")
+
+
+def composed(title: Column, blocks: Column) -> Column:
+    """An article: its title with a full stop, a blank line and its blocks; a first block that repeats the title goes."""
+    content = F.filter(blocks, lambda b: stripped(b) != "")
+    key = _letters(clean_lines(F.coalesce(title, F.lit(""))))
+    repeats = (key != "") & (_letters(F.get(content, F.lit(0))) == key)
+    content = F.when(F.coalesce(repeats, F.lit(False)), F.slice(content, 2, 1 << 30)).otherwise(content)
+    head = title_with_stop(F.coalesce(title, F.lit("")))
+    body = stripped(F.array_join(content, "\n\n"))
+    return stripped(F.when(head == "", body).otherwise(F.concat(head, F.lit("\n\n"), body)))
+
+
 def token_count(n_chars: Column, chars_per_token: float = 4.0) -> Column:
     """Estimate from a number of characters: 0 for none, else at least 1; halves round to even."""
     if chars_per_token <= 0:

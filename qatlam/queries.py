@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qatlam import sql as S
+from qatlam.functions import names as N
 from qatlam.functions import quality as Q
 from qatlam.functions import text as T
 from qatlam.functions import urls as U
 from qatlam.operators import dedup, ledger, ordered, spelling, web
 from qatlam.plans import clean
 from qatlam.runtime import table, widened
+from qatlam.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -121,31 +123,53 @@ def slugs(spark, d):
     return table(spark, d, "documents").select("doc_id", T.slug(F.col("path")).alias("slug"), F.replace("path", F.lit("/"), F.lit("_")).alias("name"))
 
 
-SHARD = r"^(.+)__(.+)__shard-([0-9]+)\.txt$"
-NAME = "regexp_extract(path, '[^/]*$', 0)"
+#: File names of every form: dataset shards under their own, their public and an unknown name, library files, others.
+FILES = """(SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'tahrirchi_uz-crawl' WHEN 1 THEN 'yakhyo_uz-wiki' WHEN 2 THEN 'corpus-b' WHEN 3 THEN 'boshqa_x' WHEN 4 THEN '10763_kimdir' ELSE coalesce(path, 'x') END
+|| CASE WHEN doc_id % 6 < 4 THEN '__' || coalesce(source, 'train') || '__shard-' || lpad(CAST(doc_id AS VARCHAR), 6, '0') ELSE '' END || '.txt' AS name FROM documents)"""
+
+
+def file_names(spark, d):
+    i = F.col("doc_id") % 6
+    head = F.when(i == 0, "tahrirchi_uz-crawl").when(i == 1, "yakhyo_uz-wiki").when(i == 2, "corpus-b").when(i == 3, "boshqa_x").when(i == 4, "10763_kimdir").otherwise(F.coalesce("path", F.lit("x")))
+    tail = F.when(i < 4, F.concat(F.lit("__"), F.coalesce("source", F.lit("train")), F.lit("__shard-"), F.lpad(F.col("doc_id").cast("string"), 6, "0"))).otherwise("")
+    return table(spark, d, "documents").select("doc_id", F.concat(head, tail, F.lit(".txt")).alias("name"))
 
 
 @query(
     "source_ids",
-    f"""SELECT doc_id, CASE WHEN regexp_matches({NAME}, {S.q(SHARD)}) THEN 'hf:' || regexp_extract({NAME}, {S.q(SHARD)}, 1) || ':' || regexp_extract({NAME}, {S.q(SHARD)}, 2)
-|| ':shard-' || regexp_extract({NAME}, {S.q(SHARD)}, 3) WHEN regexp_matches({NAME}, '^[0-9]+_') THEN 'ziyouz:' || regexp_extract({NAME}, '^([0-9]+)_', 1) END AS source_id FROM documents""",
+    f"""WITH f AS {FILES}, m AS (SELECT doc_id, name, regexp_extract(name, '[^/]*$', 0) AS n, regexp_extract(regexp_extract(name, '[^/]*$', 0), '^(.+)__(.+)__shard-([0-9]+)[.]txt$', ['slug', 'split', 'shard']) AS p FROM f),
+k AS (SELECT *, CASE p.slug WHEN 'tahrirchi_uz-crawl' THEN 'tahrirchi/uz-crawl' WHEN 'tahrirchi_uz-books-v2' THEN 'tahrirchi/uz-books-v2' WHEN 'yakhyo_uz-wiki' THEN 'yakhyo/uz-wiki' END AS dataset FROM m)
+SELECT doc_id, CASE WHEN dataset IS NOT NULL THEN 'hf:' || dataset || ':' || p.split || ':shard-' || p.shard WHEN regexp_matches(n, '^[0-9]+_') THEN 'ziyouz:' || regexp_extract(n, '^([0-9]+)_', 1) END AS source_id,
+CASE dataset WHEN 'tahrirchi/uz-crawl' THEN 'corpus-a' WHEN 'tahrirchi/uz-books-v2' THEN 'corpus-b' WHEN 'yakhyo/uz-wiki' THEN 'corpus-c' END || '__' || p.split || '__shard-' || p.shard || '.txt' AS renamed,
+p.slug IN ('tahrirchi_uz-crawl', 'tahrirchi_uz-books-v2', 'yakhyo_uz-wiki', 'corpus-a', 'corpus-b', 'corpus-c') AS from_dataset FROM k""",
 )
 def source_ids(spark, d):
-    n = F.regexp_extract("path", "[^/]*$", 0)
-    e = lambda i: F.regexp_extract(n, SHARD, i)
-    sid = F.when(n.rlike(SHARD), F.concat(F.lit("hf:"), e(1), F.lit(":"), e(2), F.lit(":shard-"), e(3))).when(n.rlike("^[0-9]+_"), F.concat(F.lit("ziyouz:"), F.regexp_extract(n, "^([0-9]+)_", 1)))
-    return table(spark, d, "documents").select("doc_id", sid.alias("source_id"))
+    n = N.file_name(F.col("name"))
+    return file_names(spark, d).select("doc_id", N.source_id(n).alias("source_id"), N.renamed(n).alias("renamed"), N.is_from_dataset(n).alias("from_dataset"))
+
+
+@query("shard_names", "SELECT doc_id, 'tahrirchi_uz-crawl__' || coalesce(lang, 'x') || '__shard-' || lpad(CAST(doc_id AS VARCHAR), 6, '0') || '.txt' AS name FROM documents")
+def shard_names(spark, d):
+    return table(spark, d, "documents").select("doc_id", N.shard_name(F.lit("tahrirchi/uz-crawl"), F.coalesce("lang", F.lit("x")), F.col("doc_id")).alias("name"))
+
+
+@query(
+    "unknown_datasets",
+    f"""WITH f AS {FILES} SELECT DISTINCT regexp_extract(regexp_extract(name, '[^/]*$', 0), '^(.+)__(.+)__shard-([0-9]+)[.]txt$', 1) AS slug FROM f WHERE regexp_matches(regexp_extract(name, '[^/]*$', 0), '__shard-[0-9]+[.]txt$')
+EXCEPT SELECT * FROM (VALUES ('tahrirchi_uz-crawl'), ('tahrirchi_uz-books-v2'), ('yakhyo_uz-wiki'))""",
+)
+def unknown_datasets(spark, d):
+    dataset, slug, _, _ = N.shard_parts(N.file_name(F.col("name")))
+    return file_names(spark, d).where(slug.isNotNull() & dataset.isNull()).select(slug.alias("slug")).distinct()
 
 
 @query(
     "formats",
     """WITH e AS (SELECT result_id, lower(regexp_extract(source_path, '\\.([A-Za-z0-9]+)$', 1)) AS x FROM results)
-SELECT result_id, CASE WHEN x IN ('pdf', 'djvu', 'epub', 'docx', 'pptx', 'fb2', 'txt') THEN x WHEN x IN ('html', 'htm') THEN 'html' ELSE 'unknown' END AS detected FROM e""",
+SELECT result_id, CASE WHEN x IN ('pdf', 'djvu', 'epub', 'docx', 'pptx', 'fb2', 'txt') THEN x WHEN x IN ('html', 'htm') THEN 'html' WHEN x = 'djv' THEN 'djvu' ELSE 'unknown' END AS detected FROM e""",
 )
 def formats(spark, d):
-    x = F.lower(F.regexp_extract("source_path", r"\.([A-Za-z0-9]+)$", 1))
-    f = F.when(x.isin("pdf", "djvu", "epub", "docx", "pptx", "fb2", "txt"), x).when(x.isin("html", "htm"), "html").otherwise("unknown")
-    return table(spark, d, "results").select("result_id", f.alias("detected"))
+    return table(spark, d, "results").select("result_id", F.coalesce(readers.format_of(F.col("source_path")), F.lit("unknown")).alias("detected"))
 
 
 @query(
@@ -154,8 +178,7 @@ def formats(spark, d):
 FROM results WHERE kept_text IS NOT NULL) SELECT result_id, CAST(unnest(range(len(ps))) AS INTEGER) AS page, unnest(ps) AS text FROM p""",
 )
 def paragraphs(spark, d):
-    ps = F.filter(F.transform(F.split("kept_text", "\n\n"), T.stripped), lambda x: x != "")
-    return table(spark, d, "results").where("kept_text is not null").select("result_id", F.posexplode(ps).alias("page", "text"))
+    return table(spark, d, "results").where("kept_text is not null").select("result_id", F.posexplode(T.paragraphs(col("kept_text"))).alias("page", "text"))
 
 
 # Language, quality, structure
@@ -179,13 +202,24 @@ def quality_histogram(spark, d):
     return x.groupBy("lang", "reason").agg(F.count("*").alias("n"))
 
 
+#: Blocks with a running header and a page number added on each page.
+HEADED = "(SELECT path, page, text FROM blocks WHERE text IS NOT NULL UNION ALL SELECT DISTINCT path, page, 'Sarlavha ' || coalesce(path, '') || ' ' || page FROM blocks UNION ALL SELECT DISTINCT path, page, '- ' || page || ' -' FROM blocks)"
+
+
+def headed_blocks(spark, d):
+    b = table(spark, d, "blocks").select("path", "page", "text")
+    pages, p = b.select("path", "page").distinct(), F.col("page").cast("string")
+    heads = pages.select("path", "page", F.concat(F.lit("Sarlavha "), F.coalesce("path", F.lit("")), F.lit(" "), p).alias("text"))
+    return b.where("text is not null").unionByName(heads).unionByName(pages.select("path", "page", F.concat(F.lit("- "), p, F.lit(" -")).alias("text")))
+
+
 @query(
     "repeated_headers",
-    f"""SELECT path, form, count(DISTINCT page) AS n_pages FROM (SELECT path, page, {S.repeat_form('text')} AS form FROM blocks WHERE text IS NOT NULL)
+    f"""SELECT path, form, count(DISTINCT page) AS n_pages FROM (SELECT path, page, {S.repeat_form('text')} AS form FROM {HEADED})
 WHERE form <> '' AND length(form) < 100 GROUP BY path, form HAVING count(DISTINCT page) >= 2""",
 )
 def repeated_headers(spark, d):
-    return clean.repeated_texts(table(spark, d, "blocks").where("text is not null"), 2)
+    return clean.repeated_texts(headed_blocks(spark, d), 2)
 
 
 @query("structure_cascade", S.FUNNEL + "SELECT block_id, structure_reason FROM s")
@@ -294,15 +328,40 @@ def trusted_dictionary(spark, d):
 VARIANTS = ", ".join(f"replace(word, {S.q(a)}, {S.q(b)})" for x, y in spelling.CONFUSED for a, b in ((x, y), (y, x)))
 
 
+#: Every second document with the letter q read as k, as scanners do; the others are trusted.
+MISREAD = "(SELECT doc_id, replace(text, 'q', 'k') AS text FROM documents WHERE text IS NOT NULL AND doc_id % 2 = 0)"
+SPELL = f"""WITH r AS (SELECT word FROM (SELECT unnest(string_split_regex(lower(text), '[\\s\\p{{Z}}]+')) AS t FROM documents WHERE text IS NOT NULL AND doc_id % 2 = 1) x, LATERAL (SELECT regexp_extract(x.t, '(?s)^(.*?)([.,!?:;)"»]*)$', 1) AS word)
+WHERE word <> '' GROUP BY word HAVING count(*) >= 3),
+u AS (SELECT DISTINCT word FROM (SELECT unnest(string_split_regex(lower(text), '[\\s\\p{{Z}}]+')) AS t FROM {MISREAD}) x, LATERAL (SELECT regexp_extract(x.t, '(?s)^(.*?)([.,!?:;)"»]*)$', 1) AS word) WHERE word <> '' AND word NOT IN (SELECT word FROM r)),
+v AS (SELECT DISTINCT word, unnest([{VARIANTS}]) AS correction FROM u), c AS (SELECT word, correction FROM v WHERE word <> correction AND correction IN (SELECT word FROM r)),
+fix AS (SELECT word, min(correction) AS correction FROM c GROUP BY word HAVING count(*) = 1)
+"""
+
+
+def misread_documents(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text").where("text is not null")
+    bad = docs.where("doc_id % 2 = 0").select("doc_id", F.replace("text", F.lit("q"), F.lit("k")).alias("text"))
+    return bad, spelling.corrections(spelling.words(bad), spelling.dictionary(docs.where("doc_id % 2 = 1")))
+
+
+@query("spell_corrections", SPELL + "SELECT word, correction FROM fix")
+def spell_corrections(spark, d):
+    return misread_documents(spark, d)[1]
+
+
 @query(
-    "spell_corrections",
-    f"""WITH {TOKENS}, r AS (SELECT word FROM n WHERE n >= 3), u AS (SELECT word FROM n WHERE n < 3),
-v AS (SELECT DISTINCT word, unnest([{VARIANTS}]) AS correction FROM u), c AS (SELECT word, correction FROM v WHERE word <> correction AND correction IN (SELECT word FROM r))
-SELECT word, min(correction) AS correction FROM c GROUP BY word HAVING count(*) = 1""",
+    "corrected_lines",
+    SPELL
+    + f""", l AS (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {MISREAD})),
+t AS (SELECT doc_id, i, line, unnest(range(len(ts))) AS j, unnest(ts) AS t FROM (SELECT *, list_filter(string_split_regex(line, '[\\s\\p{{Z}}]+'), lambda x: x <> '') AS ts FROM l) WHERE len(ts) > 0),
+k AS (SELECT *, regexp_extract(t, '(?s)^(.*?)([.,!?:;)"»]*)$', 1) AS core, regexp_extract(t, '(?s)^(.*?)([.,!?:;)"»]*)$', 2) AS rest FROM t),
+f AS (SELECT doc_id, i, string_agg(CASE WHEN correction IS NULL THEN t WHEN left(core, 1) <> lower(left(core, 1)) THEN upper(left(correction, 1)) || substr(correction, 2) || rest ELSE correction || rest END, ' ' ORDER BY j) AS line
+FROM k LEFT JOIN fix ON lower(core) = word GROUP BY doc_id, i)
+SELECT doc_id, string_agg(coalesce(f.line, l.line), chr(10) ORDER BY i) AS corrected FROM l LEFT JOIN f USING (doc_id, i) GROUP BY doc_id""",
 )
-def spell_corrections(spark, d):
-    docs = table(spark, d, "documents")
-    return spelling.corrections(spelling.words(docs), spelling.dictionary(docs))
+def corrected_lines(spark, d):
+    bad, fixes = misread_documents(spark, d)
+    return spelling.corrected_lines(bad, "doc_id", fixes)
 
 
 FIXES = {"kitob": "kitoblar", "bilan": "birga", "uchun": "atab"}
@@ -311,17 +370,17 @@ FIX_SQL = " ".join(f"WHEN lower(regexp_extract(t, '(?s)^(.*?)([.,!?:;)\"»]*)$',
 
 @query(
     "known_corrections",
-    f"""SELECT block_id, array_to_string(list_transform(list_filter(string_split_regex(text, '[\\s\\p{{Z}}]+'), lambda t: t <> ''), lambda t: CASE {FIX_SQL} ELSE t END), ' ') AS fixed
-FROM blocks WHERE text IS NOT NULL AND NOT contains(text, chr(10))""",
+    f"""SELECT block_id, array_to_string(list_transform(string_split(text, chr(10)), lambda l: array_to_string(list_transform(list_filter(string_split_regex(l, '[\\s\\p{{Z}}]+'), lambda t: t <> ''),
+lambda t: CASE {FIX_SQL} ELSE t END), ' ')), chr(10)) AS fixed FROM blocks WHERE text IS NOT NULL""",
 )
 def known_corrections(spark, d):
     fixes = F.create_map(*[F.lit(x) for kv in FIXES.items() for x in kv])
-    return table(spark, d, "blocks").where("text is not null and not contains(text, chr(10))").select("block_id", T.corrected(col(), fixes).alias("fixed"))
+    return table(spark, d, "blocks").where("text is not null").select("block_id", T.corrected_text(col(), fixes).alias("fixed"))
 
 
 @query("unresolved_words", f"WITH {TOKENS} SELECT count(*) AS n_words, CAST(sum(n) AS BIGINT) AS n_tokens FROM n WHERE n < 3")
 def unresolved_words(spark, d):
-    n = spelling.words(table(spark, d, "documents")).groupBy("word").agg(F.count("*").alias("n")).where("n < 3")
+    n = spelling.counted(table(spark, d, "documents")).where("n < 3")
     return n.agg(F.count("*").alias("n_words"), F.sum("n").alias("n_tokens"))
 
 
@@ -461,7 +520,7 @@ def categorize_urls(spark, d):
 
 @query("folder_categories", "SELECT doc_id, CASE WHEN contains(path, '/') THEN split_part(path, '/', 1) ELSE 'uncategorized' END AS folder FROM documents")
 def folder_categories(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.when(F.col("path").contains("/"), F.split("path", "/")[0]).otherwise("uncategorized").alias("folder"))
+    return table(spark, d, "documents").select("doc_id", N.folder_category(F.col("path")).alias("folder"))
 
 
 # Crawling
