@@ -86,6 +86,12 @@ def url_date(url: Column) -> Column:
     return F.when(y != "", F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00+00:00")))
 
 
+def article_path(url: Column) -> Column:
+    """Whether the url is dated and lies three folders deep at least, as articles do."""
+    path = F.regexp_replace(_part(url, 3), "^/+|/+$", "")
+    return url_date(url).isNotNull() & (F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit(""))) >= 3)
+
+
 def parsed_time(value: Column) -> Column:
     """An ISO time, or the date at its start, as UTC timestamp."""
     v = F.regexp_replace(value, r"^\s+|\s+$", "")

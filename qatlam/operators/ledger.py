@@ -62,3 +62,8 @@ def insert_or_fill(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def retry_minutes(attempts: Column, most: int = 60) -> Column:
     return F.least(F.lit(most), (F.lit(5) * F.pow(F.lit(2.0), attempts - 1)).cast("bigint"))
+
+
+def expired(files: DataFrame, modified: str, now: Column, days: int) -> DataFrame:
+    """Files last changed more than ``days`` before ``now``; what has no time stays."""
+    return files.where(F.col(modified) < now - F.expr(f"INTERVAL {int(days)} DAYS"))

@@ -12,7 +12,7 @@ from qatlam.functions import names as N
 from qatlam.functions import quality as Q
 from qatlam.functions import text as T
 from qatlam.functions import urls as U
-from qatlam.operators import dedup, ledger, ordered, spelling, web
+from qatlam.operators import crawl, dedup, ledger, ordered, spelling, web
 from qatlam.plans import clean
 from qatlam.runtime import table, widened
 from qatlam.sources import readers
@@ -541,10 +541,10 @@ def recent_median(spark, d):
     return web.recent_median(table(spark, d, "pages"))
 
 
-@query("sitemap_order", "SELECT page_id, row_number() OVER (PARTITION BY status ORDER BY coalesce(sitemap_lastmod, '') DESC, url, page_id) AS place FROM pages")
+@query("sitemap_order", "SELECT page_id, row_number() OVER (PARTITION BY status ORDER BY coalesce(sitemap_lastmod, '') DESC, url, page_id) AS place FROM pages WHERE status IS NOT NULL")
 def sitemap_order(spark, d):
-    w = Window.partitionBy("status").orderBy(F.coalesce("sitemap_lastmod", F.lit("")).desc(), "url", "page_id")
-    return table(spark, d, "pages").select("page_id", F.row_number().over(w).alias("place"))
+    p = table(spark, d, "pages").where("status is not null").select("page_id", "status", "url", "sitemap_lastmod")
+    return crawl.places(p, ["status"], [F.coalesce("sitemap_lastmod", F.lit("")).desc(), F.col("url"), F.col("page_id")]).select("page_id", "place")
 
 
 WORDS = r"[\p{L}\p{N}_ʻʼ‘’'-]+"
@@ -563,10 +563,17 @@ def candidate_rank(spark, d):
     return web.ranked(table(spark, d, "candidates"), table(spark, d, "pages")).withColumn("final_score", F.round("final_score", 4))
 
 
-@query("local_acceptance", "SELECT page_id, candidate_id, (method IN ('jsonld', 'nuxt', 'next')) AND length(text) >= 700 AS accepted, length(text) >= 250 AS long_enough FROM candidates WHERE text IS NOT NULL")
+@query(
+    "local_acceptance",
+    f"""WITH p AS (SELECT page_id, trim({S.url_part('url', 3)}, '/') AS path, regexp_matches({S.url_part('url', 3)}, {S.q(DATE)}) AS dated FROM pages)
+SELECT page_id, candidate_id, method IN ('jsonld', 'nuxt', 'next') AND (length(text) >= 700 OR coalesce(dated AND length(path) - length(replace(path, '/', '')) >= 3, false)) AS accepted, length(text) >= 250 AS long_enough
+FROM candidates LEFT JOIN p USING (page_id) WHERE text IS NOT NULL""",
+)
 def local_acceptance(spark, d):
     n = F.length("text")
-    return table(spark, d, "candidates").where("text is not null").select("page_id", "candidate_id", web.accepted(F.col("method"), n, F.lit(False)).alias("accepted"), (n >= 250).alias("long_enough"))
+    p = table(spark, d, "pages").select("page_id", U.article_path(F.col("url")).alias("dated"))
+    c = table(spark, d, "candidates").where("text is not null").join(p, "page_id", "left")
+    return c.select("page_id", "candidate_id", web.accepted(F.col("method"), n, F.coalesce("dated", F.lit(False))).alias("accepted"), (n >= 250).alias("long_enough"))
 
 
 @query(
@@ -587,48 +594,248 @@ def trash_lines(spark, d):
     return x.where(Q.is_trash(F.col("line"))).groupBy("page_id", "candidate_id").agg(F.count("*").alias("n"))
 
 
-@query("content_blocks")
+CLEAN_LINE = lambda x: S.rep(S.rep(S.strip(x), r"[\s\p{Z}]+", " "), r" +([.,:;!?])", r"\1")
+TRASH = lambda x: f"""(regexp_replace(lower({x}), '^[ .:—\\-\t]+|[ .:—\\-\t]+$', '', 'g') IN ('reklama', 'advertisement', 'реклама', 'sponsored', 'homiylik materiali')
+OR (length({x}) <= 300 AND regexp_matches({x}, '(?i)^(foto|surat|video|illustratsiya|manba)\\s*:')))"""
+
+
+@query(
+    "content_blocks",
+    f"""WITH b AS (SELECT page_id, candidate_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {CLEAN_LINE('x')}), lambda x: x <> '' AND NOT {TRASH('x')}) AS bs FROM candidates WHERE text IS NOT NULL),
+k AS (SELECT *, list_transform(bs, lambda x: regexp_replace(lower(x), '[^\\p{{L}}\\p{{N}}_]+', '', 'g')) AS ks FROM b)
+SELECT page_id, candidate_id, array_to_string(list_filter(bs, lambda x, i: ks[i] <> '' AND list_position(ks, ks[i]) = i), chr(10)) AS body FROM k""",
+)
 def content_blocks(spark, d):
     c = table(spark, d, "candidates").where("text is not null")
-    return c.select("page_id", "candidate_id", web.content_blocks(F.col("text")).alias("blocks"))
+    return c.select("page_id", "candidate_id", F.array_join(web.content_blocks(F.col("text")), "\n").alias("body"))
+
+
+@query(
+    "articles",
+    f"""WITH c AS (SELECT page_id, candidate_id, coalesce({CLEAN_LINE('title')}, '') AS t, list_filter(list_transform(string_split(text, chr(10)), lambda x: {S.strip('x')}), lambda x: x <> '') AS bs
+FROM candidates LEFT JOIN pages USING (page_id) WHERE text IS NOT NULL),
+k AS (SELECT *, regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}_]+', '', 'g') AS tk, CASE WHEN t <> '' AND right(t, 1) NOT IN ('.', '!', '?', '…') THEN t || '.' ELSE t END AS head FROM c),
+f AS (SELECT *, CASE WHEN tk <> '' AND len(bs) > 0 AND regexp_replace(lower(bs[1]), '[^\\p{{L}}\\p{{N}}_]+', '', 'g') = tk THEN bs[2:] ELSE bs END AS rest FROM k)
+SELECT page_id, candidate_id, {S.strip("CASE WHEN head = '' THEN array_to_string(rest, chr(10) || chr(10)) ELSE head || chr(10) || chr(10) || array_to_string(rest, chr(10) || chr(10)) END")} AS article FROM f""",
+)
+def articles(spark, d):
+    c = table(spark, d, "candidates").where("text is not null").join(table(spark, d, "pages").select("page_id", "title"), "page_id", "left")
+    blocks = F.filter(F.transform(F.split("text", "\n"), T.stripped), lambda x: x != "")
+    return c.select("page_id", "candidate_id", T.composed(F.col("title"), blocks).alias("article"))
 
 
-@query("titles", f"""SELECT page_id, CASE WHEN t <> '' AND right(t, 1) NOT IN ('.', '!', '?', '…') THEN t || '.' ELSE t END AS heading
-FROM (SELECT page_id, {S.rep(S.rep(S.strip('title'), '[' + chr(92) + 's' + chr(92) + 'p{Z}]+', ' '), ' +([.,:;!?])', chr(92) + '1')} AS t FROM pages WHERE title IS NOT NULL AND NOT contains(title, chr(10)))""")
+@query(
+    "titles",
+    f"""WITH l AS (SELECT page_id, list_filter(list_transform(string_split_regex(title, '\\r\\n?|\\n'), lambda x: {CLEAN_LINE('x')}), lambda x: x <> '') AS ls FROM pages WHERE title IS NOT NULL),
+t AS (SELECT page_id, array_to_string(list_filter(ls, lambda x, i: i = 1 OR x <> ls[i - 1]), chr(10) || chr(10)) AS t FROM l)
+SELECT page_id, CASE WHEN t <> '' AND right(t, 1) NOT IN ('.', '!', '?', '…') THEN t || '.' ELSE t END AS heading FROM t""",
+)
 def titles(spark, d):
-    return table(spark, d, "pages").where("title is not null and not contains(title, chr(10))").select("page_id", T.title_with_stop(F.col("title")).alias("heading"))
+    return table(spark, d, "pages").where("title is not null").select("page_id", T.title_with_stop(F.col("title")).alias("heading"))
 
 
-LINKS = "links AS (SELECT DISTINCT a.page_id AS source, a.page_id + b.k AS target FROM pages a, (VALUES (2), (5), (50), (300), (1000), (4000)) b(k) WHERE (a.page_id + b.k) IN (SELECT page_id FROM pages))"
+LINKS = "links AS (SELECT DISTINCT a.page_id AS source, b.page_id AS target FROM pages a, (VALUES (2, 0), (2, 1), (3, 1), (7, 5)) k(m, r), pages b WHERE b.page_id = a.page_id * m + r)"
 
 
 @query(
     "catalog_bfs",
-    f"""WITH RECURSIVE {LINKS}, r(page, depth) AS (SELECT min(page_id), 0 FROM pages UNION SELECT target, depth + 1 FROM r JOIN links ON source = page WHERE depth < 30)
-SELECT page, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY page HAVING min(depth) <= 30""",
+    f"""WITH RECURSIVE {LINKS}, r(page, depth) AS (SELECT min(page_id), 0 FROM pages UNION SELECT target, depth + 1 FROM r JOIN links ON source = page)
+SELECT page, CAST(min(depth) AS INTEGER) AS depth FROM r GROUP BY page""",
 )
 def catalog_bfs(spark, d):
     p = table(spark, d, "pages").select("page_id")
-    links = p.select(F.col("page_id").alias("source"), F.explode(F.array(*[F.col("page_id") + k for k in (2, 5, 50, 300, 1000, 4000)])).alias("target"))
+    links = p.select(F.col("page_id").alias("source"), F.explode(F.array(*[F.col("page_id") * m + r for m, r in ((2, 0), (2, 1), (3, 1), (7, 5))])).alias("target"))
     links = links.join(p.select(F.col("page_id").alias("target")), "target", "left_semi").distinct()
-    return web.reachable(links, p.agg(F.min("page_id").alias("page"))).where("depth <= 30").select("page", "depth")
+    return web.reachable(links, p.agg(F.min("page_id").alias("page"))).select("page", "depth")
 
 
-@query("bundles")
+@query(
+    "bundles",
+    f"""WITH RECURSIVE p AS (SELECT {S.host_key('url')} AS domain, page_id AS article_id, left(published_at, 10) AS day, coalesce(clean_chars, 0) AS size FROM pages WHERE published_at IS NOT NULL),
+s AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY day DESC, article_id) AS seq FROM p),
+r(domain, seq, article_id, bundle, used, month) AS (SELECT domain, seq, article_id, 1, CAST(size AS BIGINT), left(day, 7) FROM s WHERE seq = 1
+UNION ALL SELECT s.domain, s.seq, s.article_id, CASE WHEN left(s.day, 7) > month OR used + s.size > 20000 THEN bundle + 1 ELSE bundle END,
+CASE WHEN left(s.day, 7) > month OR used + s.size > 20000 THEN s.size ELSE used + s.size END, left(s.day, 7) FROM r JOIN s ON s.domain = r.domain AND s.seq = r.seq + 1)
+SELECT domain, article_id, bundle FROM r""",
+)
 def bundles(spark, d):
     p = table(spark, d, "pages").where("published_at is not null").select(U.host_key(F.col("url")).alias("domain"), F.col("page_id").alias("article_id"), F.left("published_at", F.lit(10)).alias("day"), F.coalesce("clean_chars", F.lit(0)).alias("size"))
-    w = Window.partitionBy("domain").orderBy(F.desc("day"), "article_id")
-    return web.bundled(p.withColumn("seq", F.row_number().over(w)), 20_000)
+    seq = crawl.places(p, ["domain"], [F.desc("day"), F.col("article_id")]).withColumnRenamed("place", "seq")
+    return web.bundled(seq, 20_000)
+
+
+@query(
+    "library_categories",
+    """WITH n AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN ' Fizika' WHEN 1 THEN 'O‘zbek nasri' WHEN 2 THEN 'O''zbek nasri' WHEN 3 THEN 'Prezident asarlari' WHEN 4 THEN 'Hajviyot' WHEN 5 THEN 'Tibbiyotga oid risolalar' ELSE 'Yo''q bo''lim' END AS name FROM documents)
+SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'education' WHEN 1 THEN 'books' WHEN 2 THEN 'books' WHEN 3 THEN 'gov_legal' WHEN 4 THEN 'web_news' WHEN 5 THEN 'domain_haf' END AS category FROM n""",
+)
+def library_categories(spark, d):
+    i = F.col("doc_id") % 7
+    name = F.when(i == 0, " Fizika").when(i == 1, "O‘zbek nasri").when(i == 2, "O'zbek nasri").when(i == 3, "Prezident asarlari").when(i == 4, "Hajviyot").when(i == 5, "Tibbiyotga oid risolalar").otherwise("Yo'q bo'lim")
+    return N.library_category(table(spark, d, "documents").select("doc_id", name.alias("name")), "name").select("doc_id", "category")
+
+
+@query(
+    "downloads",
+    "SELECT result_id, lower(regexp_extract(source_path, '[.][^.]+$', 0)) IN ('.pdf', '.djvu', '.epub', '.docx', '.pptx', '.fb2', '.html', '.txt') AND coalesce(char_count * 10000 <= 209715200, true) AS wanted FROM results WHERE source_path IS NOT NULL",
+)
+def downloads(spark, d):
+    return table(spark, d, "results").where("source_path is not null").select("result_id", N.downloadable(F.col("source_path"), F.col("char_count") * 10000).alias("wanted"))
+
+
+@query("flat_categories", "SELECT doc_id, CASE WHEN contains(path, '/') THEN split_part(path, '/', 1) WHEN category IN ('books', 'web_news') THEN category ELSE 'books' END AS category FROM documents WHERE path IS NOT NULL")
+def flat_categories(spark, d):
+    return table(spark, d, "documents").where("path is not null").select("doc_id", N.flat_category(F.col("path"), F.col("category"), ["books", "web_news"]).alias("category"))
+
+
+# State of the crawl
+
+
+@query("pending_pages", "SELECT CAST(count(*) FILTER (status = 'discovered') AS BIGINT) AS n_pending FROM pages")
+def pending_pages(spark, d):
+    return crawl.pending(table(spark, d, "pages"))
+
+
+@query("ai_pages", "SELECT page_id FROM pages WHERE status = 'manual_review' AND contains(url, '.uz') ORDER BY coalesce(published_at, '') DESC, page_id LIMIT 15")
+def ai_pages(spark, d):
+    p = table(spark, d, "pages").withColumn("status", F.when(F.col("status") == "manual_review", "ai_pending"))
+    return crawl.ai_pages(p, ".uz", 15).select("page_id")
+
+
+@query(
+    "recovered_pages",
+    "SELECT CASE WHEN status IN ('processing', 'writing', 'download_failed') THEN 'discovered' WHEN status = 'ai_processing' THEN 'ai_pending' ELSE status END AS status, count(*) AS n FROM pages GROUP BY 1",
+)
+def recovered_pages(spark, d):
+    return table(spark, d, "pages").groupBy(crawl.recovered(F.col("status")).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "added_pages",
+    """WITH old AS (SELECT url, max(nullif(sitemap_lastmod, '')) AS sitemap_lastmod FROM pages WHERE page_id % 3 = 0 GROUP BY url), new AS (SELECT url, '2024-03-0' || max(1 + page_id % 9) AS p FROM pages WHERE page_id % 2 = 0 GROUP BY url)
+SELECT url, CASE WHEN new.url IS NOT NULL THEN p || 'T00:00:00+00:00' END AS published_at, CASE WHEN old.url IS NULL THEN 'x' WHEN new.url IS NULL THEN sitemap_lastmod ELSE 'x' END AS sitemap_lastmod,
+CASE WHEN old.url IS NULL THEN 'discovered' ELSE 'done' END AS status FROM old FULL JOIN new USING (url) WHERE url IS NOT NULL""",
+)
+def added_pages(spark, d):
+    p = table(spark, d, "pages").where("url is not null")
+    old = p.where("page_id % 3 = 0").groupBy("url").agg(F.max(F.nullif("sitemap_lastmod", F.lit(""))).alias("sitemap_lastmod")).select("url", F.lit(None).cast("string").alias("published_at"), "sitemap_lastmod", F.lit("done").alias("status"))
+    new = p.where("page_id % 2 = 0").groupBy("url").agg(F.concat(F.lit("2024-03-0"), F.max(1 + F.col("page_id") % 9).cast("string")).alias("published_at")).withColumn("sitemap_lastmod", F.lit("x"))
+    return crawl.add_pages(old, new)
+
+
+SITEMAPS = "(SELECT 'https://x/' || (page_id % 40) || '.xml' AS url, CAST(max(page_id % 4) AS INTEGER) AS depth, max(nullif(sitemap_lastmod, '')) AS source_lastmod FROM pages WHERE page_id % 2 = {} GROUP BY 1)"
+
+
+@query(
+    "sitemap_upsert",
+    f"""WITH old AS {SITEMAPS.format(0)}, new AS (SELECT url, depth, CASE WHEN depth > 1 THEN source_lastmod END AS source_lastmod FROM (SELECT replace(url, '1.xml', '0.xml') AS url, depth, source_lastmod FROM {SITEMAPS.format(1)})),
+j AS (SELECT url, old.depth AS od, old.source_lastmod AS ol, old.url IS NOT NULL AND old.depth IS NOT NULL AS known, new.depth AS nd, new.source_lastmod AS nl FROM old FULL JOIN new USING (url)),
+k AS (SELECT *, NOT known OR (nl IS NOT NULL AND nl IS DISTINCT FROM ol) AS again FROM j)
+SELECT url, CASE WHEN again THEN nd ELSE od END AS depth, CASE WHEN again THEN nl ELSE ol END AS source_lastmod, CASE WHEN again THEN 'pending' ELSE 'done' END AS status, CASE WHEN again THEN 0 ELSE 7 END AS cursor FROM k""",
+)
+def sitemap_upsert(spark, d):
+    p = table(spark, d, "pages").withColumn("url", F.concat(F.lit("https://x/"), (F.col("page_id") % 40).cast("string"), F.lit(".xml")))
+    by = lambda k: p.where(F.col("page_id") % 2 == k).groupBy("url").agg(F.max((F.col("page_id") % 4).cast("int")).alias("depth"), F.max(F.nullif("sitemap_lastmod", F.lit(""))).alias("source_lastmod"))
+    old = by(0).select("url", "depth", "source_lastmod", F.lit("done").alias("status"), F.lit(7).alias("cursor"))
+    new = by(1).withColumn("url", F.replace("url", F.lit("1.xml"), F.lit("0.xml"))).withColumn("source_lastmod", F.when(F.col("depth") > 1, F.col("source_lastmod")))
+    return crawl.upsert_sitemaps(old, new)
+
+
+ADAPTERS = f"(SELECT {S.host_key('url')} AS domain, selected_method AS method, CASE WHEN page_id % 3 = 0 THEN '' ELSE 's' || page_id % 5 END AS selector, 0.7 AS confidence, 1 AS samples, page_id AS updated_at FROM pages WHERE selected_method IS NOT NULL)"
+
+
+def _adapters(spark, d):
+    p = table(spark, d, "pages").where("selected_method is not null")
+    return p.select(U.host_key(F.col("url")).alias("domain"), F.col("selected_method").alias("method"), F.when(F.col("page_id") % 3 == 0, "").otherwise(F.concat(F.lit("s"), (F.col("page_id") % 5).cast("string"))).alias("selector"), F.lit(0.7).alias("confidence"), F.lit(1).alias("samples"), F.col("page_id").alias("updated_at"))
+
+
+@query("adapters", f"SELECT domain, arg_max(method, updated_at) AS method, arg_max(selector, updated_at) AS selector, CAST(sum(samples) AS BIGINT) AS samples FROM {ADAPTERS} GROUP BY domain")
+def adapters(spark, d):
+    a = _adapters(spark, d)
+    return crawl.upsert_adapters(a.where("updated_at % 2 = 0"), a.where("updated_at % 2 = 1")).select("domain", "method", "selector", "samples")
+
+
+@query(
+    "adapter_matches",
+    f"""WITH a AS (SELECT domain, arg_max(method, updated_at) AS m, arg_max(selector, updated_at) AS s FROM {ADAPTERS} GROUP BY domain),
+c AS (SELECT c.page_id, candidate_id, method, selector, {S.host_key('url')} AS domain, row_number() OVER (PARTITION BY c.page_id ORDER BY score DESC NULLS LAST, candidate_id) AS rank FROM candidates c JOIN pages p ON c.page_id = p.page_id)
+SELECT page_id, arg_min(candidate_id, rank) AS candidate_id FROM c JOIN a USING (domain) WHERE method = m AND (s = '' OR selector = s) GROUP BY page_id""",
+)
+def adapter_matches(spark, d):
+    a = _adapters(spark, d)
+    c = table(spark, d, "candidates").join(table(spark, d, "pages").select("page_id", U.host_key(F.col("url")).alias("domain")), "page_id")
+    w = Window.partitionBy("page_id").orderBy(F.desc("score"), "candidate_id")
+    return crawl.by_adapter(c.withColumn("rank", F.row_number().over(w)), crawl.upsert_adapters(a, a.limit(0)))
+
+
+@query("settings", "SELECT key, CASE WHEN k % 2 = 0 THEN 'new' ELSE 'old' END AS value FROM (SELECT DISTINCT 'k' || page_id AS key, page_id AS k FROM pages)")
+def settings(spark, d):
+    p = table(spark, d, "pages").select("page_id").distinct()
+    key = F.concat(F.lit("k"), F.col("page_id").cast("string")).alias("key")
+    return crawl.put(p.select(key, F.lit("old").alias("value")), p.where("page_id % 2 = 0").select(key, F.lit("new").alias("value")))
+
+
+@query(
+    "shard_cursors",
+    """WITH old AS (SELECT 'd' || book_id AS key, book_id % 9 AS l, CASE WHEN book_id % 4 > 0 THEN 1000 END AS s FROM books WHERE book_id % 2 = 0), new AS (SELECT 'd' || book_id AS key, book_id % 9 + 1 AS last_shard, CASE WHEN book_id % 5 = 0 THEN 500 ELSE 1000 END AS shard_size FROM books WHERE book_id % 3 = 0)
+SELECT key, CASE WHEN coalesce(s <> shard_size, false) THEN l ELSE coalesce(last_shard, l) END AS last_shard, coalesce(s, shard_size) AS shard_size, coalesce(s <> shard_size, false) AS conflict FROM old FULL JOIN new USING (key)""",
+)
+def shard_cursors(spark, d):
+    b, i = table(spark, d, "books").select("book_id"), F.col("book_id")
+    key = F.concat(F.lit("d"), i.cast("string")).alias("key")
+    old = b.where(i % 2 == 0).select(key, (i % 9).alias("last_shard"), F.when(i % 4 > 0, 1000).alias("shard_size"))
+    return crawl.cursors(old, b.where(i % 3 == 0).select(key, (i % 9 + 1).alias("last_shard"), F.when(i % 5 == 0, 500).otherwise(1000).alias("shard_size")))
+
+
+@query("next_ids", "SELECT page_id, (SELECT max(page_id) FROM pages WHERE page_id % 2 = 0) + row_number() OVER (ORDER BY page_id) AS dataset_id FROM pages WHERE page_id % 2 = 1")
+def next_ids(spark, d):
+    p = table(spark, d, "pages").select("page_id")
+    return crawl.with_ids(p.where("page_id % 2 = 0").withColumnRenamed("page_id", "dataset_id"), p.where("page_id % 2 = 1"), ["page_id"])
+
+
+@query("in_flight_items", "SELECT page_id, 'b' || page_id % 7 || '.txt' AS file FROM pages WHERE status = 'done' AND page_id % 7 < 5")
+def in_flight_items(spark, d):
+    items = table(spark, d, "pages").where("status = 'done'").select("page_id", F.lit("writing").alias("status"), (F.col("page_id") % 7).alias("bundle_id"))
+    files = spark.range(5).select(F.col("id").alias("bundle_id"), F.concat(F.lit("b"), F.col("id").cast("string"), F.lit(".txt")).alias("file"))
+    return crawl.in_flight(items, files).select("page_id", "file")
+
+
+@query("bundle_pages", "SELECT page_id, url FROM pages WHERE page_id IN (SELECT page_id FROM candidates WHERE page_id % 7 < 3)")
+def bundle_pages(spark, d):
+    items = table(spark, d, "candidates").select("page_id", (F.col("page_id") % 7).alias("bundle_id"))
+    return crawl.pages_of_bundles(table(spark, d, "pages").select("page_id", "url"), items, spark.range(3).toDF("bundle_id"))
+
+
+@query("run_counters", "SELECT CAST(count(*) FILTER (kept_blocks > 0) AS BIGINT) AS n_ok, CAST(count(*) FILTER (kept_blocks = 0) AS BIGINT) AS n_skipped, CAST(count(*) FILTER (kept_blocks IS NULL) AS BIGINT) AS n_errors, CAST(coalesce(sum(estimated_tokens) FILTER (kept_blocks > 0), 0) AS BIGINT) AS n_tokens FROM results")
+def run_counters(spark, d):
+    status = F.when(F.col("kept_blocks") > 0, "ok").when(F.col("kept_blocks") == 0, "skipped").when(F.col("kept_blocks").isNull(), "error")
+    return crawl.run_counters(table(spark, d, "results").select(status.alias("status"), F.col("estimated_tokens").alias("tokens")))
+
+
+@query("ledger_list", LATEST + " SELECT path, category, coalesce(exact_tokens, estimated_tokens) AS tokens FROM now ORDER BY path")
+def ledger_list(spark, d):
+    return ledger.latest(table(spark, d, "books")).select("path", "category", F.coalesce("exact_tokens", "estimated_tokens").alias("tokens")).orderBy("path")
+
+
+@query("sorted_paths", "SELECT DISTINCT path FROM documents WHERE path IS NOT NULL AND NOT starts_with(regexp_extract(path, '[^/]*$', 0), '.') ORDER BY path")
+def sorted_paths(spark, d):
+    return readers.in_order(table(spark, d, "documents").select("path").where("path is not null").distinct())
+
+
+@query("title_words_left", "SELECT page_id, len(list_filter(list_distinct(regexp_extract_all(lower(title), '\\p{L}+')), lambda w: NOT list_contains(['va', 'bilan', 'uchun'], w))) AS n FROM pages WHERE title IS NOT NULL")
+def title_words_left(spark, d):
+    w = F.regexp_extract_all(F.lower("title"), F.lit(r"\p{L}+"), F.lit(0))
+    return table(spark, d, "pages").where("title is not null").select("page_id", F.size(F.array_except(w, F.array(F.lit("va"), F.lit("bilan"), F.lit("uchun")))).cast("bigint").alias("n"))
 
 
 @query("ocr_gate", "SELECT path, coalesce(avg(confidence), 0) >= 60 AS good, count(*) FILTER (confidence >= 60) AS good_pages FROM ocr_pages GROUP BY path")
 def ocr_gate(spark, d):
-    return table(spark, d, "ocr_pages").groupBy("path").agg((F.coalesce(F.avg("confidence"), F.lit(0.0)) >= 60).alias("good"), F.count_if(F.col("confidence") >= 60).alias("good_pages"))
+    return readers.ocr_gate(table(spark, d, "ocr_pages"), "path")
 
 
 @query("retention", "SELECT doc_id FROM documents WHERE fetched_at < TIMESTAMP '2024-01-01 00:00:00'")
 def retention(spark, d):
-    return table(spark, d, "documents").where(F.col("fetched_at") < F.lit("2024-01-01").cast("timestamp_ntz")).select("doc_id")
+    return ledger.expired(table(spark, d, "documents"), "fetched_at", F.lit("2024-01-31").cast("timestamp_ntz"), 30).select("doc_id")
 
 
 @query("text_column_scan", "SELECT format, count(*) AS n, CAST(sum(length(kept_text)) AS BIGINT) AS chars FROM results GROUP BY format")

@@ -124,6 +124,16 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
 
 
+def in_order(files: DataFrame, path: str = "path") -> DataFrame:
+    """Files by path, without hidden ones."""
+    return files.where(~F.regexp_extract(path, "[^/]*$", 0).startswith(".")).orderBy(path)
+
+
+def ocr_gate(words: DataFrame, *key: str, least: float = 60.0) -> DataFrame:
+    """Whether the mean confidence of each file or page, 0 if unknown, is enough, and how many of its rows are good."""
+    return words.groupBy(*key).agg((F.coalesce(F.avg("confidence"), F.lit(0.0)) >= least).alias("good"), F.count_if(F.col("confidence") >= least).alias("good_pages"))
+
+
 def file_blocks(binary: DataFrame) -> DataFrame:
     """(path, format, block_idx, page, text, error) of (path, content)."""
     extractors = dict(EXTRACTORS)
