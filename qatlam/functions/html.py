@@ -12,7 +12,9 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 from html.parser import HTMLParser
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,7 +25,16 @@ BLOCK = {"p", "h1", "h2", "h3", "h4", "blockquote", "li", "div", "figcaption"}
 DROP = {"script", "style", "noscript", "svg", "form", "button", "nav", "footer", "header", "aside", "iframe"}
 #: Classes that usually hold an article.
 ARTICLE_CLASSES = ["article-body", "article-content", "post-content", "entry-content", "story-body", "news-content"]
+#: Fixed value: words in a class or id that may mark an article.
 IDENTITY = re.compile("article|content|entry|news|post|story", re.I)
+#: Words in a candidate's selector and classes that speak for and against it, and how many nodes are looked at.
+POSITIVE = ["article", "body", "content", "entry", "news", "post", "story", "text"]
+NEGATIVE = [
+    "advert", "banner", "breadcrumb", "comment", "cookie", "footer", "header", "menu", "modal", "navbar", "newsletter", "promo", "recommend", "related", "share", "sidebar", "social",
+    "subscribe", "tag-list", "toolbar",
+]
+PLAIN = ["article", '[itemprop="articleBody"]']
+NODES, CONTAINERS = 20, 5000
 _SPACE = re.compile(r"\s+")
 
 
@@ -173,22 +184,64 @@ def _scripts(root: Node) -> Iterator[tuple[str, object]]:
                     continue
 
 
-def metadata(root: Node) -> tuple[str | None, str | None, str | None]:
-    """(title, published, section) from meta tags, time tags, JSON-LD and the title tag."""
-    meta = {n.attrs.get("property") or n.attrs.get("name") or n.attrs.get("itemprop") or "": n.attrs.get("content", "") for n in root.walk() if n.tag == "meta"}
+def _time(value: str | None) -> str | None:
+    """An ISO time, or the date at its start, in UTC; None where it is neither."""
+    v = (value or "").strip()
+    for text in (v.replace("Z", "+00:00"), v[:10]):
+        try:
+            t = datetime.fromisoformat(text)
+        except ValueError:
+            continue
+        return (t if t.tzinfo else t.replace(tzinfo=UTC)).astimezone(UTC).isoformat(timespec="seconds")
+    return None
+
+
+def url_day(url: str) -> str | None:
+    """The date in a path like /2024/5/31/ as midnight UTC."""
+    m = re.search(r"/(20\d\d)/(\d{1,2})/(\d{1,2})(?:/|$)", urlsplit(url).path)
+    try:
+        return datetime(*map(int, m.groups()), tzinfo=UTC).isoformat(timespec="seconds") if m else None
+    except ValueError:
+        return None
+
+
+def metadata(root: Node, url: str = "") -> tuple[str | None, str | None, str | None]:
+    """(title, published, section) from meta tags, time tags, JSON-LD, the title tag and, last, the date in the url."""
+    meta: dict[str, str] = {}
+    for n in root.walk():
+        if n.tag == "meta":
+            meta.setdefault(n.attrs.get("property") or n.attrs.get("name") or n.attrs.get("itemprop") or "", n.attrs.get("content", "").strip())
     head = next((n.text() for n in root.walk() if n.tag == "title"), "")
     title = clean(meta.get("og:title") or meta.get("twitter:title") or head)[:1000] or None
-    day = meta.get("article:published_time") or meta.get("datePublished") or next((n.attrs["datetime"] for n in root.walk() if n.tag == "time" and n.attrs.get("datetime")), None)
-    if not day:
-        day = next((v for k, j in _scripts(root) if k == "jsonld" for p, v in leaves(j) if re.search(r"(?i)(datepublished|uploaddate)$", p)), None)
+    days = [meta.get("article:published_time"), meta.get("date"), *[n.attrs["datetime"] for n in root.walk() if n.tag == "time" and n.attrs.get("datetime")][:1]]
+    days += [v for k, j in _scripts(root) if k == "jsonld" for p, v in leaves(j) if re.search(r"(?i)(datepublished|uploaddate)$", p)]
+    day = next((t for t in map(_time, days) if t), None) or url_day(url)
     return title, day, meta.get("article:section") or meta.get("og:section") or None
 
 
-def is_article(root: Node) -> bool:
+def is_article(root: Node, url: str = "") -> bool:
+    """An article by its type, by its JSON-LD, or by a dated url at least three folders deep."""
     for n in root.walk():
         if n.tag == "meta" and n.attrs.get("property") == "og:type" and n.attrs.get("content", "").lower() == "article":
             return True
-    return any(v in ("Article", "NewsArticle") for k, j in _scripts(root) if k == "jsonld" for p, v in leaves(j) if p.endswith("@type"))
+    if any(v.lower() in ("article", "newsarticle") for k, j in _scripts(root) if k == "jsonld" for p, v in leaves(j) if p.lower().endswith("@type")):
+        return True
+    return bool(url_day(url)) and urlsplit(url).path.strip("/").count("/") >= 3
+
+
+def page_metadata(pages: DataFrame) -> DataFrame:
+    """(page_id, title, published, section, article) of pages (page_id, url, html)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, u, h in zip(b["page_id"], b["url"], b["html"]):
+                if isinstance(h, str):
+                    root = parse(h)
+                    rows.append((i, *metadata(root, u or ""), is_article(root, u or "")))
+            yield pd.DataFrame(rows, columns=["page_id", "title", "published", "section", "article"])
+
+    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id bigint, title string, published string, section string, article boolean")
 
 
 def _as_text(value: str) -> tuple[str, int]:
@@ -209,13 +262,16 @@ def candidates(page: str) -> list[tuple[str, str | None, str, float, int, float]
                 continue
             if kind == "next" and not re.search("body|content|article|text", key):
                 continue
-            if kind == "nuxt" and not re.search("</?(p|div|h[1-4]|li|blockquote)", v):
+            if kind == "nuxt" and not re.search(r"<(p|div|blockquote|h2)\b", v.lower()):
                 continue
             text, n = _as_text(v)
             if len(text) >= 250:
-                score = {"jsonld": 10_000.0, "next": 5_000.0, "nuxt": 6_000.0 + 100 * n}[kind] + len(text)
+                marked = len(re.findall(r"<(?:p|div|blockquote)\b", v.lower()))
+                score = {"jsonld": 10_000.0, "next": 5_000.0, "nuxt": (6_000.0 if "post-content" in v.lower() else 2_000.0) + 100 * marked}[kind] + len(text)
                 out.append((kind, None, text, score, n, 0.0))
     picked: list[tuple[str, Node]] = []
+    # of each plain selector the first NODES count, of marked containers CONTAINERS
+    taken: dict[str, int] = {}
     for n in root.walk():
         names = n.attrs.get("class", "").split()
         if n.attrs.get("itemprop") == "articleBody":
@@ -226,7 +282,12 @@ def candidates(page: str) -> list[tuple[str, str | None, str, float, int, float]
             picked.append(("." + next(c for c in ARTICLE_CLASSES if c in names), n))
         elif n.tag in ("div", "section", "main") and IDENTITY.search(n.identity()):
             picked.append((n.tag + "".join("." + c for c in names[:3]), n))
-    for selector, n in picked[:5000]:
+    for selector, n in picked:
+        general = selector in PLAIN or selector[1:] in ARTICLE_CLASSES
+        group = selector if general else "containers"
+        taken[group] = taken.get(group, 0) + 1
+        if taken[group] > (NODES if general else CONTAINERS):
+            continue
         bs = blocks(n)
         text = "\n\n".join(bs)
         if len(text) < 250:
@@ -234,7 +295,9 @@ def candidates(page: str) -> list[tuple[str, str | None, str, float, int, float]
         links = sum(len(a.text()) for a in n.walk() if a.tag == "a")
         density = links / max(1, len(n.text(DROP)))
         paragraphs = sum(x.tag in ("p", "blockquote", "li") for x in n.walk())
-        out.append(("dom", selector, text, float(len(text) + paragraphs * 180 - density * 5000), paragraphs, density))
+        known = f"{selector} {n.attrs.get('class', '')}".lower()
+        hints = 800 * sum(w in known for w in POSITIVE) - 2500 * sum(w in known for w in NEGATIVE)
+        out.append(("dom", selector, text, float(len(text) + paragraphs * 180 + hints - density * 5000), paragraphs, density))
     return out
 
 

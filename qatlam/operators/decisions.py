@@ -23,7 +23,7 @@ LEAST_BODY = 250
 
 def asked(rows: DataFrame, columns: list[str], decider: Decider | None, schema: str) -> DataFrame:
     """``rows`` with ``answer``, a struct of ``schema`` made from the decider's JSON or dict; null where none came. The key
-    columns stay; a batch whose call raises gets nulls."""
+    columns stay; a batch whose call raises or gives another number of answers gets nulls."""
     if decider is None:
         return rows.withColumn("answer", F.lit(None).cast(f"struct<{schema}>"))
 
@@ -32,6 +32,8 @@ def asked(rows: DataFrame, columns: list[str], decider: Decider | None, schema:
         try:
             answers = decider(records.to_dict("records"))
         except Exception:  # a decision is optional: no answer is not an error
+            answers = []
+        if len(answers) != len(records):
             answers = [None] * len(records)
         return pd.Series([a if isinstance(a, str) or a is None else json.dumps(a) for a in answers], dtype=object)
 

@@ -12,19 +12,11 @@ from qatlam.functions.quality import is_trash
 from qatlam.functions.text import clean_lines, stripped
 from qatlam.runtime import cut
 
-#: Parts of a node's class or id that speak against and for it, phrases of legal pages.
-NEGATIVE = ("advert banner breadcrumb comment cookie footer header menu modal navbar newsletter promo recommend related share sidebar social "
-            "subscribe tag-list toolbar").split()
-POSITIVE = "article body content entry news post story text".split()
+#: Phrases of legal pages.
 LEGAL = ["shaxsiy ma’lumot", "maxfiylik siyosat", "privacy policy", "terms and conditions", "cookie policy", "foydalanish shartlari"]
 STRUCTURED = ["jsonld", "nuxt", "next"]
 
 
-def dom_score(length: Column, paragraphs: Column, identity: Column, link_density: Column) -> Column:
-    one = lambda words: sum((F.lower(identity).contains(w).cast("int") for w in words[1:]), F.lower(identity).contains(words[0]).cast("int"))
-    return length + paragraphs * 180 + one(POSITIVE) * 800 - one(NEGATIVE) * 2500 - link_density * 5000
-
-
 def title_overlap(title: Column, text: Column) -> Column:
     """Share of the title's words of four letters and more within the text's first 1600 characters."""
     pattern = F.lit(r"[\p{L}\p{N}_ʻʼ‘’'-]+")

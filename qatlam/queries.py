@@ -15,7 +15,8 @@ from qatlam.functions import urls as U
 from qatlam.operators import crawl, dedup, ledger, ordered, spelling, web
 from qatlam.plans import clean
 from qatlam.runtime import table, widened
-from qatlam.sources import readers
+from qatlam.sinks import files
+from qatlam.sources import catalogue, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -501,10 +502,13 @@ def url_dates(spark, d):
     return table(spark, d, "pages").select("page_id", U.url_date(F.col("url")).alias("url_date"))
 
 
-@query("published_days", "SELECT page_id, CAST(try_cast(left(published_at, 10) AS DATE) AS VARCHAR) AS day FROM pages WHERE regexp_matches(published_at, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')")
+@query(
+    "published_days",
+    """SELECT page_id, strftime(coalesce(CASE WHEN regexp_matches(trim(published_at), '^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}') THEN try_cast(trim(published_at) AS TIMESTAMPTZ) END,
+try_cast(CASE WHEN regexp_matches(trim(published_at), '^[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN left(trim(published_at), 10) END AS TIMESTAMPTZ)) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') AS published FROM pages""",
+)
 def published_days(spark, d):
-    p = table(spark, d, "pages").where(F.col("published_at").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"))
-    return p.select("page_id", F.date_format(U.parsed_time(F.col("published_at")), "yyyy-MM-dd").alias("day"))
+    return table(spark, d, "pages").select("page_id", F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), U.parsed_time(F.col("published_at")).cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss").alias("published"))
 
 
 @query("domain_folders", f"SELECT DISTINCT regexp_replace(CASE WHEN {S.host_key('url')} = '' THEN 'website' ELSE {S.host_key('url')} END, '[^a-zA-Z0-9._-]+', '_', 'g') AS folder FROM pages")
@@ -843,7 +847,37 @@ def text_column_scan(spark, d):
     return table(spark, d, "results").groupBy("format").agg(F.count("*").alias("n"), F.sum(F.length("kept_text").cast("bigint")).alias("chars"))
 
 
-@query("stream_dedup", f"SELECT result_id FROM (SELECT result_id, row_number() OVER (PARTITION BY sha1({S.dedup_form('kept_text')}) ORDER BY result_id) AS r FROM results WHERE kept_text IS NOT NULL) WHERE r = 1")
+@query("stream_dedup", f"SELECT DISTINCT sha1({S.dedup_form('kept_text')}) AS key FROM results WHERE kept_text IS NOT NULL")
 def stream_dedup(spark, d):
-    k = table(spark, d, "results").where("kept_text is not null").select("result_id", T.content_hash(col("kept_text")).alias("key"))
-    return dedup.keep_first(k, "key", ["result_id"]).select("result_id")
+    """A stream over the files of the table, run until all are read. Which of equal rows comes first is up to the files' order, so
+    only the keys are compared."""
+    from uuid import uuid4
+
+    from qatlam.runtime import ensure_checkpoint_dir
+    from qatlam.streaming.incremental import first_seen, to_table
+
+    schema = table(spark, d, "results").schema
+    stream = spark.readStream.schema(schema).parquet(f"{d}/results.parquet*").where("kept_text is not null").select(T.content_hash(col("kept_text")).alias("key"))
+    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid4().hex}"
+    return to_table(first_seen(stream, "key"), f"{folder}/out", f"{folder}/state")
+
+
+@query("download_items", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN CAST(page_id AS VARCHAR) END AS item, CASE WHEN page_id % 3 = 0 THEN 'kitob-' || page_id END AS slug FROM pages")
+def download_items(spark, d):
+    i = F.col("page_id").cast("string")
+    url = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("https://x.uz/kutubxona?a=1&download="), i, F.lit(":kitob-"), i, F.lit("&b=2"))).otherwise(F.col("url"))
+    item, slug = catalogue.download_item(url)
+    return table(spark, d, "pages").select("page_id", item.alias("item"), slug.alias("slug"))
+
+
+@query("robots", f"SELECT page_id, NOT (page_id % 2 = 0 AND starts_with({S.url_part('url', 3)}, '/a')) AS allowed FROM pages WHERE url IS NOT NULL")
+def robots(spark, d):
+    urls = table(spark, d, "pages").where("url is not null").select("page_id", "url", F.when(F.col("page_id") % 2 == 0, "even").otherwise("odd").alias("host"))
+    rules = spark.createDataFrame([("even", "User-agent: *\nDisallow: /a\n")], "host string, rules string")
+    return catalogue.allowed(urls, rules).select("page_id", "allowed")
+
+
+@query("rejected_texts", S.FUNNEL + "SELECT path, page, drop_reason AS reason, b.text FROM funnel f JOIN (SELECT block_id, text FROM blocks) b USING (block_id) WHERE drop_reason IS NOT NULL")
+def rejected_texts(spark, d):
+    b = table(spark, d, "blocks")
+    return files.rejected(clean.cleaned(b).join(b.select("block_id", "text"), "block_id"))

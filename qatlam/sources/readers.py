@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qatlam.functions import html as H
+from qatlam.sources import scanned
 
 ENDINGS = {"pdf": "pdf", "djvu": "djvu", "djv": "djvu", "epub": "epub", "docx": "docx", "pptx": "pptx", "fb2": "fb2", "html": "html", "htm": "html", "txt": "txt"}
 Block = tuple[int, str]
@@ -111,8 +112,8 @@ def web_page(content: bytes) -> list[Block]:
     return list(enumerate(parts))
 
 
-#: Format -> extractor; formats that need libraries which aren't here (pdf, djvu) are added by ``register``.
-EXTRACTORS: dict[str, Callable[[bytes], list[Block]]] = {"txt": txt, "docx": docx, "pptx": pptx, "epub": epub, "fb2": fb2, "html": web_page}
+#: Format -> extractor. Of pdf and djvu the text layers are read; ``register`` adds extractors that do more, such as OCR.
+EXTRACTORS: dict[str, Callable[[bytes], list[Block]]] = {"txt": txt, "docx": docx, "pptx": pptx, "epub": epub, "fb2": fb2, "html": web_page, "pdf": scanned.pdf, "djvu": scanned.djvu}
 
 
 def register(kind: str, extractor: Callable[[bytes], list[Block]]) -> None:

@@ -30,3 +30,20 @@ def run_available(spark: SparkSession, source: str, schema: str, target: str, ch
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
     q = first_paragraphs(stream).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def first_seen(stream: DataFrame, key: str) -> DataFrame:
+    """Rows whose key was not seen before, over the whole stream; null keys are left out."""
+    return stream.where(F.col(key).isNotNull()).dropDuplicates([key])
+
+
+def late_counts(stream: DataFrame, time: str, window: str = "1 day", delay: str = "7 days") -> DataFrame:
+    """(start, n) rows per window of event time; rows later than ``delay`` behind the newest are left out."""
+    return stream.withWatermark(time, delay).groupBy(F.window(time, window).alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "n")
+
+
+def to_table(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
+    """Runs a stream over all that is there now, exactly once per checkpoint, and gives what it has written."""
+    q = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(target)

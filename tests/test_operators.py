@@ -1,12 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from qatlam.operators import dedup, ledger, ordered, spelling, web
+from qatlam.operators import crawl, decisions, dedup, ledger, ordered, spelling, web
 from qatlam.plans import clean
 
 
 def rows(df, *cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in (df.select(*cols) if cols else df).collect()), key=lambda r: [(x is None, str(x)) for x in r])
 
 
 def test_shards(spark):
@@ -91,6 +91,64 @@ def test_funnel(spark):
     df = spark.createDataFrame(data, "block_id int, path string, block_idx int, page int, text string")
     got = dict(rows(clean.cleaned(df), "block_id", "drop_reason"))
     assert got == {1: None, 2: "til_ozbekcha_emas", 3: "juda_qisqa", 4: "takror", 5: "til_ozbekcha_emas"}
-    docs = clean.documents(clean.cleaned(df))
-    assert rows(docs, "path", "total_blocks", "kept_blocks") == [("a", 3, 1), ("b", 2, 0)]
+    funnel = clean.cleaned(df).cache()
+    assert rows(clean.reports(funnel), "path", "total_blocks", "kept_blocks", "dropped_pct") == [("a", 3, 1, 66.67), ("b", 2, 0, 100.0)]
+    assert [(r.path, r.part) for r in clean.documents(funnel).collect()] == [("a", 0)]
     assert clean.cleaned(df.where("block_id > 9")).count() == 0
+
+
+def test_documents_in_parts(spark):
+    rows_ = [("a", i, f"matn {i} " + "x" * 10, None) for i in range(12)] + [("b", 0, "bir", None), ("b", 1, "yo'q", "takror"), ("c", 0, "hech", "takror")]
+    b = spark.createDataFrame(rows_, "path string, block_idx int, clean_text string, drop_reason string")
+    whole = {r.path: r.kept_text for r in clean.documents(b).collect()}
+    assert set(whole) == {"a", "b"} and whole["b"] == "bir"
+    parts = clean.documents(b, 40).orderBy("path", "part").collect()
+    assert len(parts) > 3 and "\n\n".join(r.kept_text for r in parts if r.path == "a") == whole["a"]
+    got = {r.path: r for r in clean.reports(b).collect()}
+    assert got["a"].char_count == len(whole["a"]) and got["c"].char_count == 0 and got["b"].dropped_pct == 50.0
+
+
+def test_spelling_of_lines(spark):
+    fixes = spark.createDataFrame([("kalam", "qalam"), ("olmo", "olma")], "word string, correction string")
+    t = spark.createDataFrame([(1, "Kalam,  va olmo!\n   \nolmozor"), (2, None), (3, ""), (4, "hech narsa")], "id int, text string")
+    assert rows(spelling.corrected_lines(t, "id", fixes), "id", "corrected") == [(1, "Qalam, va olma!\n   \nolmozor"), (3, ""), (4, "hech narsa")]
+    assert spelling.corrected_lines(t, "id", fixes.where("false")).count() == 3
+
+
+def test_crawl_state(spark):
+    pages = spark.createDataFrame([("u1", None, "2024", "done"), ("u2", "2023-01-01", None, "done")], "url string, published_at string, sitemap_lastmod string, status string")
+    new = spark.createDataFrame([("u1", "2024-05-06", "2025"), ("u2", None, "2025"), ("https://x.uz/2024/3/1/a", None, None), ("u3", None, "s"), ("u3", None, "s"), (None, None, None)], "url string, published_at string, sitemap_lastmod string")
+    assert rows(crawl.add_pages(pages, new), "url", "published_at", "sitemap_lastmod", "status") == [
+        ("https://x.uz/2024/3/1/a", "2024-03-01T00:00:00+00:00", None, "discovered"), ("u1", "2024-05-06T00:00:00+00:00", "2025", "done"), ("u2", "2023-01-01", None, "done"), ("u3", None, "s", "discovered")]
+    cursors = crawl.cursors(spark.createDataFrame([("a", 3, 1000), ("b", 5, None)], "key string, last_shard int, shard_size int"), spark.createDataFrame([("a", 4, 500), ("b", 6, 1000), ("c", 1, 10)], "key string, last_shard int, shard_size int"))
+    assert rows(cursors) == [("a", 3, 1000, True), ("b", 6, 1000, False), ("c", 1, 10, False)]
+    rank = crawl.places(spark.createDataFrame([("x", i) for i in (5, 3, 9)] + [("y", 1)], "k string, v int"), ["k"], [F.desc("v")])
+    assert rows(rank, "k", "v", "place") == [("x", 3, 3), ("x", 5, 2), ("x", 9, 1), ("y", 1, 1)]
+
+
+def test_decisions_keep_the_rules(spark):
+    text = "Bu maqola matnining uzun bir bo'lagi bo'lib unda ancha so'z bor. " * 6
+    c = spark.createDataFrame([(i, "c1", "dom", "div.a", [("b1", text), ("b2", "Reklama"), ("b3", "Oxirgi gap.")]) for i in range(8)], "page_id int, candidate_id string, method string, selector string, blocks array<struct<block_id:string,text:string>>")
+    good = {"candidate_id": "c1", "confidence": 0.9, "complete": True, "content_block_ids": ["b3", "b1"]}
+    answers = {0: good, 1: {**good, "article": False}, 2: {**good, "candidate_id": "c9"}, 3: {**good, "confidence": 0.5}, 4: {**good, "complete": False}, 5: {**good, "content_block_ids": ["b7"]}, 6: {**good, "trash_block_ids": ["b1"]}, 7: None}
+    decided = decisions.asked(spark.createDataFrame([(i,) for i in range(8)], "page_id int"), ["page_id"], lambda rs: [answers[r["page_id"]] for r in rs], decisions.DECISION)
+    got = {r.page_id: r for r in decisions.selected(decided, c).collect()}
+    assert [got[i].status for i in range(8)] == ["accepted", "non_article", "manual_review", "manual_review", "quality_rejected", "manual_review", "manual_review", "ai_pending"]
+    assert got[0].blocks == ["Oxirgi gap.", text.strip()] and got[0].selector == "div.a" and got[3].blocks is None
+    assert decisions.asked(decided.select("page_id"), ["page_id"], None, decisions.DECISION).where("answer is not null").count() == 0
+    t = spark.createDataFrame([("a", "b"), ("c", None)], "title string, text string")
+    assert rows(decisions.suggested_category(t, ["books"], lambda rs: [{"category": "books"} if r["_title"] == "a" else "broken" for r in rs]), "title", "suggested") == [("a", "books"), ("c", None)]
+    b = spark.createDataFrame([("p", 1, "x", True), ("p", 2, "y", False), ("q", 3, "z", True)], "path string, block_id long, text string, ambiguous boolean")
+
+    def noise(rs):
+        return [{"drop_block_ids": ["1", "2", "99"]} for _ in rs]
+
+    assert rows(decisions.dropped_as_noise(b, ["path"], noise), "block_id", "is_noise") == [(1, True), (2, False), (3, False)]
+    assert decisions.dropped_as_noise(b, ["path"]).where("is_noise").count() == 0
+
+    def failing(rs):
+        raise RuntimeError
+
+    words = spark.createDataFrame([("kitop",), ("kitop",), ("suv",)], "word string")
+    assert rows(decisions.asked_corrections(words, lambda rs: ["kitob" if r["word"] == "kitop" else None for r in rs])) == [("kitop", "kitob")]
+    assert decisions.asked_corrections(words, failing).count() == decisions.asked_corrections(words).count() == 0
