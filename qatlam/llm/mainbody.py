@@ -17,14 +17,14 @@ from collections.abc import Iterator
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qatlam.llm.sitelines import page_of, site
 from qatlam.runtime import cut, fits
 
-#: Lines shared over partition borders up to which they are broadcast.
-SHIP_LINES = 200_000
+#: Texts at the borders of partitions, and keys of known furniture (some 20 bytes each), up to which they are broadcast.
+SHIP_TEXTS, SHIP_KEYS = 20_000, 500_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 _SIGNS = str.maketrans("", "", "ʻʼ")
@@ -111,7 +111,8 @@ def shared(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
-_OUT = "page_id bigint, candidate_id string, site bigint, page bigint, line_no int, key bigint, opening bigint, mask int, words int, shared boolean, border int"
+_OUT = """text_id bigint, page_id bigint, candidate_id string, site bigint, page bigint, border int,
+keys array<bigint>, openings array<bigint>, masks array<int>, words array<int>, shared array<boolean>"""
 
 
 def _line(line: str, known: dict[str, tuple]) -> tuple[str, int, int, int, int]:
@@ -133,11 +134,11 @@ class _Text:
         self.keys = [x[1] for x in self.lines]
         self.hits: set[int] = set()
 
-    def rows(self, border: int) -> Iterator[tuple]:
+    def columns(self, ident: int, border: int) -> tuple:
         r, title = self.row, key_of(self.row.title) if isinstance(self.row.title, str) else ""
-        for i, (name, key, opening, mask, words) in enumerate(self.lines):
-            m = mask | TITLE if title and name == title else mask
-            yield (r.page_id, r.candidate_id, r.site, r.page, i, key, opening, m, words, i in self.hits, border)
+        masks = [x[3] | TITLE if title and x[0] == title else x[3] for x in self.lines]
+        shared_ = [i in self.hits for i in range(len(self.lines))]
+        return ident, r.page_id, r.candidate_id, r.site, r.page, border, self.keys, [x[2] for x in self.lines], masks, [x[4] for x in self.lines], shared_
 
 
 def _meet(left: list[tuple[list[int], set[int]]], right: list[tuple[list[int], set[int]]]) -> None:
@@ -166,15 +167,16 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     where: tuple | None = None
     known: dict[str, tuple] = {}
     out: list[tuple] = []
-    first, part = True, TaskContext.get().partitionId()
-    names = [c.split()[0] for c in _OUT.split(", ")]
+    first, part, number = True, TaskContext.get().partitionId(), 0
+    names = [c.split()[0] for c in _OUT.replace("\n", " ").split(", ")]
 
     def leave(texts: list[_Text], last: bool) -> None:
-        nonlocal first
+        nonlocal first, number
         if texts:
             side = first + 2 * last
             for x in texts:
-                out.extend(x.rows(4 * part + side if side else 0))
+                out.append(x.columns(part << 40 | number, 4 * part + side if side else 0))
+                number += 1
             first = False
 
     def turn() -> None:
@@ -190,7 +192,7 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 before, now = now, []
             where = here
             now.append(_Text(row, known))
-        if len(out) > 20_000:
+        if len(out) > 2_000:
             yield pd.DataFrame(out, columns=names)
             out.clear()
     if now:
@@ -201,31 +203,30 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _border(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of the lines of one site's pages at the ends of partitions those shared with the page over the border."""
+    """Of the texts of one site's pages at the ends of partitions the lines shared with the page over the border."""
     pages = []
-    for (part, first, page), x in rows.assign(part=rows["border"] // 4, first=rows["border"] & 1).groupby(["part", "first", "page"], sort=False):
-        texts = [t.sort_values("line_no") for _, t in x.groupby(["page_id", "candidate_id"], sort=False, dropna=False)]
-        pages.append((part, -first, [(t, (t["key"].tolist(), set())) for t in texts]))
+    for (part, first, _), x in rows.assign(part=rows["border"] // 4, first=rows["border"] & 1).groupby(["part", "first", "page"], sort=False):
+        pages.append((part, -first, [(i, (k.tolist(), set())) for i, k in zip(x["text_id"], x["keys"])]))
     pages.sort(key=lambda x: x[:2])
     for (p, _, left), (q, _, right) in zip(pages, pages[1:]):
         if p != q:
             _meet([t for _, t in left], [t for _, t in right])
-    names = ["page_id", "candidate_id", "line_no", "key"]
-    return pd.concat([t.iloc[sorted(hits)][names] for _, _, texts in pages for t, (_, hits) in texts])
+    found = [(i, sorted(hits)) for _, _, texts in pages for i, (_, hits) in texts if hits]
+    return pd.DataFrame(found, columns=["text_id", "over"])
 
 
-def with_borders(lines: DataFrame) -> DataFrame:
-    """The lines, shared also where the neighbouring page is in the adjoining partition."""
-    over = lines.where("border > 0").groupBy("site").applyInPandas(_border, "page_id bigint, candidate_id string, line_no int, key bigint")
-    over = cut(over.distinct().withColumn("over", F.lit(True)))
-    same = [lines[c].eqNullSafe(over[c]) for c in ("page_id", "candidate_id", "line_no", "key")]
-    joined = lines.join(F.broadcast(over) if fits(over, SHIP_LINES) else over, same, "left")
-    return joined.select(*[lines[c] for c in lines.columns if c not in ("shared", "border")], (lines["shared"] | F.coalesce("over", F.lit(False))).alias("shared"))
+def with_borders(texts: DataFrame) -> DataFrame:
+    """The texts with their lines shared also where the neighbouring page is in the adjoining partition."""
+    over = texts.where("border > 0").select("site", "page", "border", "text_id", "keys").groupBy("site").applyInPandas(_border, "text_id bigint, over array<int>")
+    over = cut(over.groupBy("text_id").agg(F.flatten(F.collect_list("over")).alias("over")))
+    joined = texts.join(F.broadcast(over) if fits(over, SHIP_TEXTS) else over, "text_id", "left")
+    both = F.transform("shared", lambda s, i: s | F.coalesce(F.array_contains("over", i), F.lit(False)))
+    return joined.withColumn("shared", F.when(F.col("over").isNull(), F.col("shared")).otherwise(both)).drop("over", "border")
 
 
 def differenced(candidates: DataFrame, pages: DataFrame) -> DataFrame:
-    """One row per line of every candidate with the hash of its letters (0: none), of its opening, its features and whether
-    a neighbouring page shares it. Candidates without a known page stand alone."""
+    """One row per candidate: of each line the hash of its letters (0: none), of its opening, its features, words and whether a
+    neighbouring page shares it, as arrays. Candidates without a known page stand alone."""
     p = pages.select("page_id", F.xxhash64(site(F.col("url"))).alias("site"), page_of(F.col("url")).alias("path"), "title").dropDuplicates(["page_id"])
     c = candidates.where(F.col("text").isNotNull()).select("page_id", "candidate_id", "text").join(p, "page_id", "left")
     c = c.withColumn("site", F.coalesce("site", F.xxhash64("page_id"))).withColumn("path", F.coalesce("path", F.lit("")))
@@ -233,14 +234,14 @@ def differenced(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     return c.select("page_id", "candidate_id", "site", F.xxhash64("path").alias("page"), "title", "text").mapInPandas(_difference, _OUT)
 
 
-def furniture_counts(lines: DataFrame) -> DataFrame:
+def furniture_counts(texts: DataFrame) -> DataFrame:
     """What all differences show of each line key and opening: on how many pages it stands and is shared, on how many
-    sites, how often a headline follows, how far down it stands."""
-    w = Window.partitionBy("page_id", "candidate_id").orderBy("line_no")
-    n = lines.withColumn("total", F.max("line_no").over(Window.partitionBy("page_id", "candidate_id")) + 1)
-    n = n.withColumn("heads", (F.lead("mask", 1, 0).over(w).bitwiseAND(HEADLINE) > 0).cast("int"))
-    keyed = n.where("key <> 0").select("key", "site", "page", "shared", "heads", "words", (F.col("line_no") / F.col("total")).alias("depth"))
-    opened = n.where("opening <> 0 and words <= 12").select(F.col("opening").alias("key"), "site", "page", "shared", "heads", "words", (F.col("line_no") / F.col("total")).alias("depth"))
+    sites, how often a headline follows, how far down it stands. Lines are combined before they are shuffled."""
+    heads = F.transform("masks", lambda m, i: (F.coalesce(F.get("masks", i + 1), F.lit(0)).bitwiseAND(HEADLINE) > 0).cast("int"))
+    n = texts.select("site", "page", F.size("keys").alias("total"), F.posexplode(F.arrays_zip("keys", "openings", "words", "shared", heads.alias("heads"))).alias("line_no", "x"))
+    n = n.select("site", "page", "x.shared", "x.heads", "x.words", F.col("x.keys").alias("key"), F.col("x.openings").alias("opening"), (F.col("line_no") / F.col("total")).alias("depth"))
+    keyed = n.where("key <> 0").drop("opening")
+    opened = n.where("opening <> 0 and words <= 12").drop("key").withColumnRenamed("opening", "key")
     page = keyed.unionByName(opened).groupBy("key", "site", "page").agg(F.max(F.col("shared").cast("int")).alias("shared"), F.avg("heads").alias("heads"), F.max("words").alias("words"), F.avg("depth").alias("depth"))
     by_site = page.groupBy("key", "site").agg(F.count("*").alias("pages"), F.sum("shared").alias("shared"), F.sum("heads").alias("heads"), F.max("words").alias("words"), F.sum("depth").alias("depth"))
     k = by_site.groupBy("key").agg(F.sum("pages").alias("pages"), F.sum("shared").alias("shared_pages"), F.count("*").alias("sites"), F.sum("heads").alias("heads"), F.max("words").alias("most_words"), F.sum("depth").alias("depth"))
@@ -301,24 +302,31 @@ def page_furniture(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     """(page_id, candidate_id, line_no) of all furniture lines. Blank lines are none; a text without any paragraph is
     furniture but for the page's title; null texts and empty tables give nothing; equal candidates of a page are each
     treated in full."""
-    lines = with_borders(cut(differenced(candidates, pages)))
-    counts = furniture_counts(lines)
-    known = counts.where("(shared_pages >= 2 and (most_words <= 25 or shared_pages >= 4)) or pages >= 5").select(
-        "key", F.lit(True).alias("known"), ((F.col("heads") >= 0.6) & (F.col("pages") >= 4)).alias("label"), (F.col("sites") >= 2).alias("wide"))
-    known = cut(known)
-    # lines without letters or opening match nothing; they are spread by their place instead of meeting in one task
-    place = F.xxhash64("page_id", "candidate_id", "line_no")
-    spread_ = lambda c: [(F.col(c) != 0).alias(f"_{c}"), F.when(F.col(c) != 0, F.col(c)).otherwise(place).alias(f"{c}_")]
-    j = lines.select("*", *spread_("key"), *spread_("opening"))
-    j = j.join(known.select(F.col("key").alias("key_"), F.lit(True).alias("_key"), "known", "label"), ["key_", "_key"], "left")
-    j = j.join(known.where("wide").select(F.col("key").alias("opening_"), F.lit(True).alias("_opening"), F.lit(True).alias("opens")), ["opening_", "_opening"], "left")
-    line = F.struct("line_no", "mask", "words", "shared", F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("label", F.lit(False)).alias("label"), F.coalesce("opens", F.lit(False)).alias("opens"), (F.col("key") == 0).alias("bare"))
-    texts = j.groupBy("page_id", "candidate_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    texts = with_borders(cut(differenced(candidates, pages)))
+    counts = furniture_counts(texts)
+    known = cut(counts.where("(shared_pages >= 2 and (most_words <= 25 or shared_pages >= 4)) or pages >= 5").select(
+        "key", ((F.col("heads") >= 0.6) & (F.col("pages") >= 4)).alias("label"), (F.col("sites") >= 2).alias("wide")))
+    few = fits(known, SHIP_KEYS)
+    # only lines that are known, or begin as known ones do, go back to their texts; lines without letters or opening match nothing
+    found = None
+    for column, keys in (("keys", known.select("key", "label")), ("openings", known.where("wide").select("key", F.lit(None).cast("boolean").alias("label")))):
+        at = texts.select("text_id", F.posexplode(column).alias("line_no", "key")).where("key <> 0")
+        hit = at.join(F.broadcast(keys) if few else keys, "key").select("text_id", F.struct("line_no", "label").alias("hit"))
+        found = hit if found is None else found.unionByName(hit)
+    found = found.groupBy("text_id").agg(F.collect_list("hit").alias("hits"))
+    joined = texts.join(found, "text_id", "left").select("page_id", "candidate_id", "masks", "words", "shared", F.transform("keys", lambda k: k == 0).alias("bare"), "hits")
 
     @F.pandas_udf("array<bigint>")
-    def gone(texts: pd.Series) -> pd.Series:
-        return pd.Series([
-            furniture_of(*[[x[f] for x in t] for f in ("mask", "words", "shared", "known", "label", "opens", "bare")]) for t in texts
-        ])
-
-    return texts.select("page_id", "candidate_id", F.explode(gone("lines")).alias("line_no"))
+    def gone(masks: pd.Series, words: pd.Series, shared_: pd.Series, bare: pd.Series, hits: pd.Series) -> pd.Series:
+        out = []
+        for m, w, s, e, h in zip(masks, words, shared_, bare, hits):
+            known_, label, opens = ([False] * len(m) for _ in range(3))
+            for x in h if h is not None else ():
+                if x["label"] is None:
+                    opens[x["line_no"]] = True
+                else:
+                    known_[x["line_no"]], label[x["line_no"]] = True, bool(x["label"])
+            out.append(furniture_of(m.tolist(), w.tolist(), s.tolist(), known_, label, opens, e.tolist()))
+        return pd.Series(out)
+
+    return joined.select("page_id", "candidate_id", F.explode(gone("masks", "words", "shared", "bare", "hits")).alias("line_no"))
