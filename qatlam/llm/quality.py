@@ -37,7 +37,7 @@ SPEAKS = {
 }
 LANGUAGES = ["uz", "ru", "en", "tr", "kk"]
 #: A profile's numbers are drawn towards those of all rows as if it had so many more rows that are like them.
-PRIOR_ROWS = 200
+PRIOR_ROWS = 2000
 #: Bound on the distance per statistic above which a record is an outlier.
 OUTLIER = 2.5
 #: Texts are counted together up to so many characters.
@@ -249,11 +249,12 @@ def prose_model(stats: DataFrame) -> Model:
     rows = stats.where(F.col("n_chars").isNotNull()).select("profile", *names)
 
     def by_profile(df: DataFrame, aggs: list[Column], shape: int) -> dict[str, np.ndarray]:
-        got = {r["profile"] or "": (r["n"], np.array([np.nan if x is None else x for x in list(r)[-shape:]], dtype=float)) for r in df.rollup("profile").agg(F.count("*").alias("n"), *aggs).collect()}
-        if not got or not got.get("", (0,))[0]:
+        got = {r["profile"]: (r["n"], np.array(list(r)[-shape:], dtype=float)) for r in df.groupBy("profile").agg(F.count("*").alias("n"), *aggs).collect()}
+        if not got:
             return {}
-        whole = got[""][1]
-        return {p: (n * v + PRIOR_ROWS * whole) / (n + PRIOR_ROWS) if p else whole for p, (n, v) in got.items()}
+        # all rows together: the mean over the profiles by their rows, which for moments is exact
+        whole = sum(n * v for n, v in got.values()) / sum(n for n, _ in got.values())
+        return {p: (n * v + PRIOR_ROWS * whole) / (n + PRIOR_ROWS) for p, (n, v) in got.items()} | {"": whole}
 
     def beside(by: dict[str, np.ndarray], name: str, df: DataFrame) -> DataFrame:
         small = df.sparkSession.createDataFrame([(p, [float(x) for x in v]) for p, v in by.items()], f"profile string, {name} array<double>")
