@@ -41,7 +41,7 @@ PRIOR_ROWS = 2000
 #: Bound on the distance per statistic above which a record is an outlier.
 OUTLIER = 2.5
 #: Texts are counted together up to so many characters.
-CHUNK = 400_000
+CHUNK = 200_000
 
 COUNTS = ["n_chars", "n_words", "n_distinct", "n_letters", "n_digits", "n_symbols", "n_commas", "n_stops", "n_vowels", "n_lines", "n_ends", "n_columns", "n_items", "n_fused", "n_clusters"]
 
