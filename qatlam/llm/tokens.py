@@ -133,21 +133,20 @@ def _piece_counter(folder: str) -> Callable[[str, dict[str, int]], int]:
 
 def _byte_counter(folder: str) -> Callable[[str, dict[str, int]], int]:
     """Exact counts of the byte-level vocabulary for many languages; pieces of text are kept by the library's pattern."""
+    import ast
     import base64
-    import importlib.util
-    import sys
 
     import regex
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("_public_tokenizers", f"{folder}/__init__.py")
-    module = importlib.util.module_from_spec(spec)
-    sys.modules.setdefault("_public_tokenizers", module)
-    spec.loader.exec_module(module)
+    # the splitting pattern is a constant of the tokenizers' module, which is read and not run
+    with open(f"{folder}/__init__.py", encoding="utf-8") as f:
+        constants = {t.id: n.value for n in ast.parse(f.read()).body if isinstance(n, ast.Assign) for t in n.targets if isinstance(t, ast.Name)}
+    split_pattern = ast.literal_eval(constants["PATTERN"])
     with open(f"{folder}/byte_bpe_multi_50k.tiktoken", "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    own = tiktoken.Encoding("own", pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    pattern = regex.compile(module.PATTERN)
+    own = tiktoken.Encoding("own", pat_str=split_pattern, mergeable_ranks=ranks, special_tokens={})
+    pattern = regex.compile(split_pattern)
 
     def count(text: str, kept: dict[str, int]) -> int:
         total = 0
