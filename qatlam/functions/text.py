@@ -122,13 +122,19 @@ def repeat_form(c: Column) -> Column:
     return F.lower(stripped(F.regexp_replace(F.regexp_replace(c, r"\p{Nd}+", ""), rf"{SPACE}+", " ")))
 
 
+def _no_mail(c: Column) -> Column:
+    """Without e-mail addresses; the pattern is tried only on texts that can hold one."""
+    return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, EMAIL, "")).otherwise(c)
+
+
 def scrub_pii(c: Column) -> Column:
     """Without e-mail addresses and phone numbers; spaces around them stay."""
-    return F.regexp_replace(F.regexp_replace(c, EMAIL, ""), PHONE, "")
+    return F.regexp_replace(_no_mail(c), PHONE, "")
 
 
 def pii_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(EMAIL)) + F.regexp_count(F.regexp_replace(c, EMAIL, ""), F.lit(PHONE))
+    mails = F.when(F.contains(c, F.lit("@")), F.regexp_count(c, F.lit(EMAIL))).otherwise(F.when(c.isNotNull(), 0))
+    return mails + F.regexp_count(_no_mail(c), F.lit(PHONE))
 
 
 def is_page_number(line: Column) -> Column:

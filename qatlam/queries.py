@@ -75,7 +75,7 @@ SELECT doc_id, {S.rep('e', T.PHONE)} AS scrubbed, CAST(len(regexp_extract_all(te
 )
 def pii_scrub(spark, d):
     t = F.concat("text", F.lit(" +998 90 123 45 "), F.lpad((F.col("doc_id") % 100).cast("string"), 2, "0"), F.lit(" a"), F.col("doc_id").cast("string"), F.lit("@pochta.example"))
-    x = table(spark, d, "documents").where("text is not null").select("doc_id", t.alias("text"))
+    x = widened(table(spark, d, "documents").select("doc_id", "text").where("text is not null")).select("doc_id", t.alias("text"))
     return x.select("doc_id", T.scrub_pii(col()).alias("scrubbed"), T.pii_count(col()).alias("hits"))
 
 
@@ -86,7 +86,8 @@ h AS (SELECT source, len(regexp_extract_all(text, {S.q(T.EMAIL)})) + len(regexp_
 SELECT source, CAST(sum(hits) AS BIGINT) AS hits, CAST(count(*) FILTER (hits > 0) AS BIGINT) AS n_documents FROM h GROUP BY source""",
 )
 def pii_report(spark, d):
-    x = table(spark, d, "documents").where("text is not null").select(F.coalesce("source", F.lit("")).alias("source"), T.pii_count(col()).alias("hits"))
+    x = widened(table(spark, d, "documents").select("source", "text").where("text is not null"))
+    x = x.select(F.coalesce("source", F.lit("")).alias("source"), T.pii_count(col()).alias("hits"))
     return x.groupBy("source").agg(F.sum("hits").alias("hits"), F.count_if(F.col("hits") > 0).alias("n_documents"))
 
 

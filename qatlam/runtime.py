@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,14 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder in which lineage is cut: the cluster's ``spark.checkpoint.dir``, or what the session has set. A local session
-    that names none gets a folder below the working directory; on a cluster a folder of one machine would be lost with it, so
-    there one must be named."""
+    that names none, as in tests, gets a temporary folder; on a cluster a folder of one machine would be lost with it, so there
+    one must be named."""
     sc = spark.sparkContext
     named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = os.path.abspath("spark-checkpoints")
+        named = os.path.join(tempfile.gettempdir(), "qatlam-checkpoints")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
