@@ -33,6 +33,7 @@ EDGE = 3
 _APOS = re.compile("[" + APOSTROPHES + "]")
 _WORD = re.compile(r"[^\W_]+(?:[" + APOSTROPHES + r"|][^\W_]+)*[" + APOSTROPHES + r"]?")
 _HYPHEN = re.compile(r"([^\W_](?:[^\W_]|[" + APOSTROPHES + r"|])*)[-¬­‐‑–]\s*$")
+HYPHENS = set("-¬\xad‐‑–")
 _START = re.compile(r"^\s*([^\W_](?:[^\W_]|[" + APOSTROPHES + r"|])*)")
 _COMPOUND = re.compile(r"([^\W_](?:[^\W_]|[" + APOSTROPHES + r"])*)[-‐‑]([^\W_](?:[^\W_]|[" + APOSTROPHES + r"])*)")
 #: Page numbers, with the letters that scans put for digits.
@@ -45,7 +46,8 @@ CONFUSED = {("n", "ri"), ("m", "rn"), ("d", "cl"), ("u", "ii"), ("h", "li"), ("t
 
 
 def norm(word: str) -> str:
-    return _APOS.sub("'", word.lower()).strip("'")
+    w = word.lower()
+    return w if w.isascii() and w.isalpha() else _APOS.sub("'", w).strip("'")
 
 
 def header_key(line: str) -> str:
@@ -79,7 +81,10 @@ def furniture_lines(lines: list[str], headers: list[str]) -> set[int]:
 
 def _halves(line: str | None, after: str | None, compounds: set[str]) -> tuple[str, str] | None:
     """The two parts of a word broken at the end of ``line``; None for words always written with a hyphen."""
-    a, b = _HYPHEN.search(line) if line else None, _START.match(after) if after else None
+    # most lines end otherwise, and the pattern would try each of their words
+    if not line or not after or line.rstrip()[-1:] not in HYPHENS:
+        return None
+    a, b = _HYPHEN.search(line), _START.match(after)
     if a and b and b.group(1)[0].islower() and not a.group(1)[-1].isdigit():
         x, y = norm(a.group(1)), norm(b.group(1))
         if f"{x}-{y}" not in compounds and not (len(x) > 2 and y.startswith(x)):
