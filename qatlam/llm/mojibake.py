@@ -137,7 +137,8 @@ def inferred(token: str, twin: str) -> list[str]:
 
 _SPLIT = r"[ \t\r\n]+"
 #: Four words and more in a row of which only question marks are left; signs and digits between them stay as they were.
-LOST_RUN = r"(?:(?:^|\s)[^\p{L}\s?]*\?[^\p{L}\s]*(?=\s|$)){4,}"
+#: Possessive, since Java matches other repeated groups by recursion, and a run of a thousand words overflowed the stack.
+LOST_RUN = r"(?:(?:^|\s)[^\p{L}\s?]*\?[^\p{L}\s]*(?=\s|$)){4,}+"
 
 
 def stripped_twins(types: DataFrame) -> DataFrame:

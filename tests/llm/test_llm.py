@@ -516,6 +516,13 @@ def test_garbled_documents(spark):
     assert mojibake.found(mojibake.garbled(docs.where("doc_id > 999"))).count() == 0
 
 
+def test_runs_of_question_marks_of_any_length(spark):
+    docs = spark.createDataFrame([(1, "Matn bor. " + "????? ???, " * 10_000 + "oxiri"), (2, "?? ?? ??"), (3, "Nima? " * 20_000)], "doc_id long, text string")
+    hits = mojibake.garbled(docs).cache()
+    assert rows(mojibake.found(hits), "doc_id") == [(1,)]
+    assert [len(r.token.split()) for r in hits.where("chain = 'only question marks'").collect()] == [20_000]
+
+
 def test_twins_on_stripped_text(spark):
     assert mojibake.inferred("oâ€˜zbekâ€™", "o‘zbek’") and "utf-8 as cp1252" in mojibake.inferred("oâ€˜zbek", "o‘zbek")
     assert mojibake.inferred("yaðmur", "yağmur") == ["cp1254 as cp1252"] and mojibake.inferred("olma", "anor") == [] == mojibake.inferred("ğa", "ğa")
