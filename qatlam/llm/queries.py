@@ -60,9 +60,10 @@ n AS (SELECT site, key, count(DISTINCT page) AS pages FROM k WHERE key <> '' GRO
 
 @query("p2_found", P2_LINES + "SELECT page_id, candidate_id, CAST(line_no AS BIGINT) AS line_no FROM k JOIN n USING (site, key)")
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    from qatlam.llm.sitelines import repeated_lines
+    """The occurrences of the blocks' lines. A line without a neighbour is a block of its own, so its SQL needs no graph."""
+    from qatlam.llm.sitelines import boilerplate
 
-    return repeated_lines(table(spark, d, "candidates"), table(spark, d, "pages")).select("page_id", "candidate_id", "line_no")
+    return boilerplate(table(spark, d, "candidates"), table(spark, d, "pages"))[1].select("page_id", "candidate_id", "line_no")
 
 
 @query("p2_blocks")

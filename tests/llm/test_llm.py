@@ -116,6 +116,20 @@ def test_site_blocks_are_components(spark):
     assert sitelines.boilerplate(c.where("page_id < 0"), pages_of(spark, 2))[1].count() == 0
 
 
+def test_site_lines_come_from_blocks(spark, tmp_path, monkeypatch):
+    from qatlam.llm.queries import QUERIES
+
+    text = "Menyu bir\nMenyu ikki\n{}\n{}\n\n\n\nYakka satr"
+    c = spark.createDataFrame([(i, "c1", text.format(*["Matn " + "abcdef"[i] * n for n in (9, 7)])) for i in range(6)], "page_id long, candidate_id string, text string")
+    c.write.parquet(str(tmp_path / "candidates.parquet"))
+    pages_of(spark, 6).write.parquet(str(tmp_path / "pages.parquet"))
+    found = lambda: rows(QUERIES["p2_found"](spark, str(tmp_path)), "page_id", "line_no")
+    assert found() == [(i, n) for i in range(6) for n in (0, 1, 7)]
+    whole = sitelines.components
+    monkeypatch.setattr(sitelines, "components", lambda kept, links: whole(kept, links).join(links.select("site", F.col("a").alias("block")), ["site", "block"]))
+    assert found() == [(i, n) for i in range(6) for n in (0, 1)]
+
+
 def test_shared_is_a_longest_common_subsequence():
     rng = random.Random(1)
 
